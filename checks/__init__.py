@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sql_texts"]
+MODULES = ["sql_texts", "sql_ladders"]
 
 
 def all_sql():

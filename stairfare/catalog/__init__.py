@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts"]
+MODULES = ["texts", "ladders"]
 
 
 def all_queries():

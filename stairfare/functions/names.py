@@ -54,11 +54,11 @@ def _padded(text: Column) -> Column:
 
 
 def detect_subtier(name: Column) -> Column:
-    return case_contains(_padded(name), vocab.SUBTIER_TOKENS)
+    return let(_padded(name), lambda t: case_contains(t, vocab.SUBTIER_TOKENS))
 
 
 def detect_cabin(text: Column) -> Column:
-    return case_contains(_padded(text), vocab.CABIN_TOKENS)
+    return let(_padded(text), lambda t: case_contains(t, vocab.CABIN_TOKENS))
 
 
 def cabin_base(cabin: Column) -> Column:
@@ -75,19 +75,19 @@ def subtier_rank(subtier: Column) -> Column:
 
 def name_rank(name: Column, cabin: Column) -> Column:
     """Position of a family inside its cabin, judged by its name alone."""
-    return cabin_base(cabin) + subtier_rank(detect_subtier(name))
+    return cabin_base(cabin) + let(detect_subtier(name), subtier_rank)
 
 
 def canonical_name(name: Column, cabin: Column) -> Column:
     """``<Cabin> <Sub-tier>``, or the cleaned name when no sub-tier is recognised."""
-    sub = detect_subtier(name)
     label = literal_map((k, lbl) for k, _, lbl in vocab.SUBTIERS)
     bare = F.regexp_replace(F.coalesce(name, F.lit("")),
                             r"(?i)\b(class|fare|package|brand)\b", " ")
     bare = F.trim(F.regexp_replace(bare, r"\s+", " "))
     bare = F.when(bare == "", cabin).otherwise(bare)
-    return F.when(sub.isNotNull(), F.concat_ws(" ", cabin, F.element_at(label, sub))) \
-        .otherwise(F.concat(cabin, F.lit(" — "), bare))
+    return let(detect_subtier(name), lambda sub: F.when(
+        sub.isNotNull(), F.concat_ws(" ", cabin, F.element_at(label, sub)))
+        .otherwise(F.concat(cabin, F.lit(" — "), bare)))
 
 
 def tier_code(cabin: Column, order: Column) -> Column:
@@ -157,14 +157,13 @@ def is_bare_code(name: Column) -> Column:
 
 def spelled_name(name: Column, spelling: Column) -> Column:
     """Display form of ``name``; ``spelling`` is the carrier's own wording or null."""
-    s = F.trim(F.coalesce(name, F.lit("")))
-    words = F.array_join(F.transform(F.split(s, r"\s+"), capitalize), " ")
-    return F.coalesce(
-        spelling,
-        F.when(is_bare_code(s), s)
-        .when(is_upper(s) & s.contains(" "), words)
-        .when(is_upper(s) & F.lower(s).isin(vocab.FARE_WORDS), capitalize(s))
-        .otherwise(s))
+    def styled(s):
+        words = F.array_join(F.transform(F.split(s, r"\s+"), lambda w: capitalize(w)), " ")
+        return F.when(is_bare_code(s), s) \
+            .when(is_upper(s) & s.contains(" "), words) \
+            .when(is_upper(s) & F.lower(s).isin(vocab.FARE_WORDS), capitalize(s)) \
+            .otherwise(s)
+    return F.coalesce(spelling, let(F.trim(F.coalesce(name, F.lit(""))), styled))
 
 
 def spelling_dim(spark) -> DataFrame:

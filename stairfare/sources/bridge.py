@@ -106,7 +106,8 @@ def cheapest_cards(packages: DataFrame, keys, payload) -> DataFrame:
         (F.col("price_type") == "delta").alias("is_delta"),
         F.col("price_value").isNull().alias("no_price"),
         *[F.col(c) for c in payload])).alias("best")
-    return packages.groupBy(*keys).agg(best).select(*keys, "best.*").withColumn(
+    return packages.groupBy(*keys).agg(best, F.count("*").alias("n_seen")) \
+        .select(*keys, "best.*", "n_seen").withColumn(
         "price_type", F.when(F.col("is_delta"), "delta").otherwise("absolute")) \
         .drop("is_delta", "no_price")
 
@@ -118,6 +119,7 @@ def cards(spark, sf_dir) -> DataFrame:
     df = with_itinerary(df)
     return df.withColumns({
         "fare_family_code": pick(CODES, F.col("code_no")),
+        "n_rights": F.col("n_seen") * 3,
         "display_price_text": price_text(F.col("price_value"), F.col("ln"), F.col("qty")),
         "mileage_available": F.when(F.col("is_open"), True).when(F.col("ln") % 2 == 0, False),
         "miles_earned": F.when(F.col("is_open") & (F.col("ln") % 3 == 0), F.col("qty") * 10.0),
@@ -207,3 +209,18 @@ def job_rows(spark, sf_dir) -> DataFrame:
     df = with_itinerary(table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("pos"), "c_mktsegment", "c_acctbal"), key="pos", season=False)
     return df.select("pos", "carrier", "origin", "destination", "c_mktsegment", "c_acctbal")
+
+
+def date_walk(spark, sf_dir) -> DataFrame:
+    """What each sampled day showed: one row per unit, block and day, the best outcome kept."""
+    day = F.col("o_orderdate").cast("date")
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("flight_id"), season_of("o_orderdate").alias("season"),
+        (F.floor((F.year(day) - 1995) / 3) + 1).cast("int").alias("walk_block"), day.alias("day"),
+        F.when(F.col("o_orderstatus") == "F", 2).when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("seen"),
+        (F.col("o_orderkey") % 6 + 1).cast("int").alias("fares"))
+    o = with_itinerary(o, season=False)
+    return o.groupBy(*UNIT, "walk_block", "day").agg(
+        F.max("seen").alias("seen"), F.max(F.when(F.col("seen") == 2, F.col("fares"))).alias("fares")) \
+        .withColumn("outcome", F.when(F.col("seen") == 2, "found").when(F.col("seen") == 1, "absent")
+                    .otherwise("no_availability")).drop("seen")
