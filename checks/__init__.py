@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sql_texts", "sql_ladders"]
+MODULES = ["sql_texts", "sql_ladders", "sql_choosing"]
 
 
 def all_sql():

@@ -99,3 +99,23 @@ SQL["p8_drop_bare_codes"] = b(f"SELECT pretty_name, count(*) AS n FROM (SELECT {
 SQL["j3_family_override"] = b(f"""SELECT carrier, fare_family_code, tabled_name, tabled_cabin, count(*) AS n FROM (SELECT carrier, fare_family_code, {c.override('carrier', 'fare_family_code', 'raw_brand_name', 2)} AS tabled_name,
   {c.override('carrier', 'fare_family_code', 'raw_brand_name', 3)} AS tabled_cabin FROM lines) WHERE tabled_name IS NOT NULL GROUP BY ALL""")
 SQL["j4_spelling_lookup"] = b(f"""SELECT carrier, k, spelling, count(*) AS n FROM (SELECT carrier, {key('raw_brand_name')} AS k FROM lines) JOIN {c.values(vocab.SPELLINGS, 'sc, sk, spelling')} ON carrier=sc AND k=sk GROUP BY ALL""")
+
+# order repair: neighbours swap one pair per step, pass by pass, until a pass changes nothing
+_prefs = SQL["j10_season_pair_preferences"].split("\nSELECT", 1)[1]
+_second = {
+    "prefs": f"SELECT {RT}, list(first_key || '>' || second_key) AS pl FROM (SELECT {_prefs}) GROUP BY ALL",
+    "queues": f"""SELECT *, {' || '.join(f"'|' || {x.strip()}" for x in RK.split(','))} AS id FROM (SELECT {RK}, list({{'i': brand_order, 'k': k}} ORDER BY brand_order) AS arr
+      FROM (SELECT *, {key('pretty_name')} AS k FROM ordered_rows) GROUP BY ALL) JOIN prefs USING ({RT}) WHERE len(arr) > 1""",
+    "bub": """SELECT id, pl, arr, CAST(1 AS BIGINT) AS i, FALSE AS sw, CAST(1 AS BIGINT) AS pass, FALSE AS done FROM queues UNION ALL
+      SELECT id, pl, CASE WHEN hit THEN list_concat(list_concat(arr[1:i-1], [arr[i+1], arr[i]]), arr[i+2:]) ELSE arr END,
+        CASE WHEN i < len(arr) THEN i+1 ELSE 1 END, CASE WHEN i < len(arr) THEN sw OR hit ELSE FALSE END,
+        CASE WHEN i < len(arr) THEN pass ELSE pass+1 END, i = len(arr) AND (NOT sw OR pass >= len(arr)*len(arr)) FROM (
+        SELECT *, i < len(arr) AND arr[i].k<>'' AND arr[i+1].k<>'' AND arr[i].k<>arr[i+1].k AND list_contains(pl, arr[i+1].k || '>' || arr[i].k) AS hit FROM bub WHERE NOT done)""",
+    "settled": "SELECT id, unnest(range(0, len(arr))) AS new_order, unnest(list_transform(arr, lambda x: x.i)) AS brand_order FROM bub WHERE done",
+    "ordered2": f"""SELECT o.* EXCLUDE (brand_order), coalesce(new_order, o.brand_order) AS brand_order FROM (SELECT *, {' || '.join(f"'|' || {x.strip()}" for x in RK.split(','))} AS id FROM ordered_rows) o
+      LEFT JOIN settled s ON o.id=s.id AND o.brand_order=s.brand_order""",
+    "named2": C["named_rows"].replace("ordered_rows", "ordered2"),
+    "distinct2": C["distinct_rows"].replace("named_rows", "named2"),
+    "pick2": C["ladder_pick"].replace("distinct_rows", "distinct2"),
+    "published2": C["published"].replace("distinct_rows", "distinct2").replace("ladder_pick", "pick2")}
+SQL["j11_consensus_ladder"] = "WITH RECURSIVE " + b(f"SELECT {L}, shown_name, CAST(brand_order AS INT) AS brand_order, tier_code, CAST(abs_price AS DOUBLE) AS abs_price FROM published2", **_second)[5:]

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts", "ladders"]
+MODULES = ["texts", "ladders", "choosing"]
 
 
 def all_queries():

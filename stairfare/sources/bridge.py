@@ -224,3 +224,13 @@ def date_walk(spark, sf_dir) -> DataFrame:
         F.max("seen").alias("seen"), F.max(F.when(F.col("seen") == 2, F.col("fares"))).alias("fares")) \
         .withColumn("outcome", F.when(F.col("seen") == 2, "found").when(F.col("seen") == 1, "absent")
                     .otherwise("no_availability")).drop("seen")
+
+
+def sided_cards(spark, sf_dir) -> DataFrame:
+    """Two sources' ladders for the same unit, date and cabin (odd lines against even lines)."""
+    df = with_itinerary(raw_lines(spark, sf_dir)).where(
+        (F.col("price_type") == "absolute") & F.col("price_value").isNotNull())
+    df = df.withColumn("side", F.when(F.col("ln") % 2 == 1, "primary").otherwise("secondary"))
+    best = F.min(F.struct("price_value", "screen_order")).alias("best")
+    return df.groupBy(*UNIT, "departure", "group_cabin", "side", "raw_brand_name").agg(best) \
+        .select(*UNIT, "departure", "group_cabin", "side", "raw_brand_name", "best.*")
