@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sql_texts", "sql_ladders", "sql_choosing"]
+MODULES = ["sql_texts", "sql_ladders", "sql_choosing", "sql_planning"]
 
 
 def all_sql():

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts", "ladders", "choosing"]
+MODULES = ["texts", "ladders", "choosing", "planning"]
 
 
 def all_queries():
