@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts", "ladders", "choosing", "planning"]
+MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics"]
 
 
 def all_queries():

@@ -234,3 +234,30 @@ def sided_cards(spark, sf_dir) -> DataFrame:
     best = F.min(F.struct("price_value", "screen_order")).alias("best")
     return df.groupBy(*UNIT, "departure", "group_cabin", "side", "raw_brand_name").agg(best) \
         .select(*UNIT, "departure", "group_cabin", "side", "raw_brand_name", "best.*")
+
+
+def attempts(spark, sf_dir) -> DataFrame:
+    """One collection attempt per itinerary and season, with what it brought back.
+
+    Gaps follow from the itinerary key: some attempts lack Business, brands, prices, rights,
+    miles or a source.
+    """
+    k = F.col("flight_id")
+    gap = lambda n: k % n == 0
+    keep = ~((F.col("group_cabin") == "Business") & gap(4)) & ~gap(17)
+    df = cards(spark, sf_dir).withColumn("keep", keep)
+    n = lambda cond: F.count(F.when(F.col("keep") & cond, 1))
+    out = df.groupBy("flight_id", "season").agg(
+        F.size(F.collect_set(F.when(F.col("keep"), F.col("group_cabin")))).alias("n_cabins"),
+        n(F.lit(True)).alias("n_brands"), n(F.col("price_value").isNotNull() & ~gap(29)).alias("n_priced"),
+        n((F.col("n_rights") > 3) & ~gap(23)).alias("n_with_rights"),
+        n(F.col("mileage_available").isNotNull() & ~gap(37)).alias("n_with_miles"),
+        F.max(F.col("keep") & (F.col("group_cabin") == "Business")).alias("has_business"),
+        F.max(F.col("keep") & (F.col("group_cabin") == "Economy")).alias("has_economy"))
+    out = with_itinerary(out)
+    return out.withColumns({
+        "source": F.when(gap(31), "").otherwise(F.col("source")),
+        "status": F.when(gap(34), "failed").otherwise("success"),
+        "error": F.when(gap(34), "timeout").when(gap(51), "no flights").otherwise(""),
+        "retry_count": (k % 3).cast("int"), "opportunistic": F.col("carrier").isin("PC", "VF"),
+        "elapsed_s": (k % 97) / 4.0})
