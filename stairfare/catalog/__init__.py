@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics"]
+MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics", "changes"]
 
 
 def all_queries():
