@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sql_texts", "sql_ladders", "sql_choosing", "sql_planning", "sql_quality", "sql_analytics", "sql_changes"]
+MODULES = ["sql_texts", "sql_ladders", "sql_choosing", "sql_planning", "sql_quality", "sql_analytics", "sql_changes", "sql_files"]
 
 
 def all_sql():

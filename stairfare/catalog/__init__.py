@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics", "changes"]
+MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics", "changes", "files"]
 
 
 def all_queries():
