@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["sql_texts", "sql_ladders", "sql_choosing", "sql_planning", "sql_quality", "sql_analytics", "sql_changes", "sql_files"]
+MODULES = ["sql_texts", "sql_ladders", "sql_choosing", "sql_planning", "sql_quality", "sql_analytics", "sql_changes", "sql_files", "sql_streams"]
 
 
 def all_sql():

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics", "changes", "files"]
+MODULES = ["texts", "ladders", "choosing", "planning", "quality", "analytics", "changes", "files", "streams"]
 
 
 def all_queries():

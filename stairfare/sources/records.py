@@ -63,9 +63,11 @@ def read_records(spark: SparkSession, *paths) -> DataFrame:
 
 def read_tolerant(spark: SparkSession, *paths):
     """(good records, broken lines): a half-written last line never stops a read."""
-    df = spark.read.schema(RECORD + ", _broken string").option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_broken").json(list(paths))
-    return df.where("_broken is null").drop("_broken"), df.where("_broken is not null").select("unit_key", "_broken")
+    lines = spark.read.text(list(paths)).where(F.trim("value") != "")
+    df = lines.select(F.from_json("value", RECORD + ", _broken string", {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}).alias("r"))
+    good = df.where("r._broken is null").select("r.*").drop("_broken")
+    return good, df.where("r._broken is not null").select("r._broken")
 
 
 def flatten(records: DataFrame) -> DataFrame:
