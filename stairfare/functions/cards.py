@@ -63,7 +63,7 @@ def card_right(line: Column) -> Column:
         hold_bag = low.rlike("^(checked baggage|check-in bagaj)")
         bag = cabin_bag | hold_bag
         key = F.when(cabin_bag, "cabin_baggage").when(hold_bag, "checked_baggage") \
-            .when(low.rlike("non-refundable|cancellation|iptal|iade"), "refund") \
+            .when(low.rlike("non-refundable|cancellation|i\u0307?ptal|iade"), "refund") \
             .when(low.rlike("change|değişiklik"), "change") \
             .when(low.rlike("seat selection|koltuk"), "seat_selection") \
             .when(low.rlike("meals|yemek"), "meal").when(low.rlike("lounge|salon"), "lounge_access")

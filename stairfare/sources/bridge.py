@@ -8,7 +8,7 @@ below are parameters of this mapping, chosen so that every text rule is exercise
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..rules.rights import RIGHT_KEYS
-from .tables import table
+from .tables import spread, table
 
 CARRIERS = ["TK", "EK", "QR", "LH", "EY", "SV", "PC", "BA", "AF", "AC", "UA", "KL", "VF",
             "KE", "RJ", "AZ", "CX", "GF", "U2", "DL", "NH", "W6", "AI", "GQ", "ZZ"]
@@ -61,7 +61,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with their itinerary; the join is left to the optimiser and AQE."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("flight_id"), season_of("o_orderdate").alias("season"))
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     ln, delta = F.col("l_linenumber"), (F.col("l_returnflag") == "R") & (F.col("l_linenumber") > 4)
     no_price = (F.col("l_discount") >= 0.095) & (ln == 7)
     return li.join(o, li.l_orderkey == o.o_orderkey).select(

@@ -54,6 +54,8 @@ def run_to_latest(stream: DataFrame, label: str) -> DataFrame:
     q = stream.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
+    if not seen:
+        return spark.createDataFrame([], stream.schema)
     return spark.read.schema(stream.schema).parquet(f"{base}/batch={max(seen)}")
 
 
