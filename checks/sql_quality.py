@@ -65,8 +65,8 @@ SQL["a18_verification_gate"] = b("SELECT verdict, count(*) AS ladders, verdict='
 SQL["x5_rotated_inventory"] = b("SELECT carrier, rot AS rotated, count(*) AS n FROM verdicts WHERE has_live GROUP BY ALL")
 SQL["a19_publish_gate"] = b("""SELECT carrier, outcomes, good, NOT (outcomes>20 AND good*100//outcomes<25) AS may_continue FROM (SELECT carrier, count(*) AS outcomes,
   count(*) FILTER (final_status='success') AS good FROM judged_units GROUP BY ALL)""")
-SQL["a21_reading_fingerprint"] = b("""SELECT carrier, season, side, count(*) AS rows, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', origin, destination, raw_brand_name, CAST(price_value AS VARCHAR))),1,8) AS BIGINT)) AS BIGINT) AS hash_sum
-  FROM sided GROUP BY ALL""")
+SQL["a21_reading_fingerprint"] = b("""SELECT carrier, season, side, count(*) AS rows, bit_xor(h) AS hash_xor, CAST(sum(h % 1000003) AS BIGINT) AS hash_sum FROM (
+  SELECT *, CAST('0x' || substr(md5(concat_ws('|', origin, destination, raw_brand_name, CAST(price_value AS VARCHAR))),1,8) AS BIGINT) AS h FROM sided) GROUP BY ALL""")
 SQL["x6_reading_diff"] = b("""SELECT *, count(*) AS n FROM ((SELECT *, 'first' AS only_in FROM (SELECT carrier, group_cabin, raw_brand_name FROM sided WHERE side='primary' EXCEPT ALL SELECT carrier, group_cabin, raw_brand_name FROM sided WHERE side='secondary'))
   UNION ALL (SELECT *, 'second' FROM (SELECT carrier, group_cabin, raw_brand_name FROM sided WHERE side='secondary' EXCEPT ALL SELECT carrier, group_cabin, raw_brand_name FROM sided WHERE side='primary'))) GROUP BY ALL""")
 SQL["a33_without_rights"] = b(f"""SELECT carrier, raw_brand_name, count(*) AS n FROM cards ANTI JOIN (SELECT {FL}, raw_brand_name FROM rights WHERE status<>'Unknown' AND raw_value<>'') USING ({FL}, raw_brand_name) GROUP BY ALL""")

@@ -86,10 +86,14 @@ def compare_readings(stored: DataFrame, live: DataFrame, keys) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, keys, *columns) -> DataFrame:
-    """Order-free fingerprint of a reading: row count and sum of row hashes (constant state)."""
+    """Order-free fingerprint of a reading: row count, xor and bounded sum of row hashes.
+
+    The state has a constant size and the sum cannot overflow before trillions of rows.
+    """
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return df.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(head).alias("hash_sum"))
+    return df.groupBy(*keys).agg(F.count("*").alias("rows"), F.bit_xor(head).alias("hash_xor"),
+                                 F.sum(F.pmod(head, F.lit(1000003))).alias("hash_sum"))
 
 
 def reading_diff(first: DataFrame, second: DataFrame) -> DataFrame:
