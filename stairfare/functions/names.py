@@ -228,16 +228,6 @@ def carrier_dim(spark) -> DataFrame:
                                  "dim_carrier string, airline_name string")
 
 
-def airline_spelling_dim(spark) -> DataFrame:
-    """One row per accepted spelling of an airline, with its list position."""
-    rows = []
-    for pos, (code, name, more) in enumerate(places.CARRIERS):
-        for s in [name] + [m for m in more.split(",") if m]:
-            rows.append((code, pos, s))
-    dim = spark.createDataFrame(rows, "al_code string, al_pos int, al_name string")
-    return dim.withColumn("al_norm", norm_airline(F.col("al_name"))).distinct()
-
-
 def airport_dim(spark) -> DataFrame:
     return spark.createDataFrame(
         places.AIRPORTS, "ap_code string, city_code string, city_name string,"

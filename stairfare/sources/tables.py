@@ -43,14 +43,3 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write a result once as a table in the shared folder and read it back.
-
-    Used where several branches of one job read the same costly result; unlike a cache it
-    survives the loss of executors.
-    """
-    path = scratch(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)

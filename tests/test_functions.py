@@ -163,3 +163,32 @@ def test_date_plan_stays_in_season(spark):
         per = plan.groupBy("origin", "destination", "season", "block_no").agg(F.count("*").alias("n"))
         assert per.where("n <> 5").count() == 0
         assert plan.select("origin", "destination", "season").distinct().count() == 4
+
+
+def test_window_plan_walks_consecutive_days(spark):
+    units = dates.with_seasons(spark.createDataFrame([("IST", "JFK")], "origin string, destination string"))
+    plan = dates.window_plan(units, F.lit("2026-02-01").cast("date"), seed=3)
+    per = plan.groupBy("season").agg(F.count("*").alias("n"), F.date_diff(F.max("departure"), F.min("departure")).alias("span"),
+                                     F.min(F.date_diff("departure", F.lit("2026-02-01").cast("date"))).alias("lead"))
+    assert all(r.n == 7 and r.span == 6 and r.lead >= 21 for r in per.collect())
+    first = plan.where("pos = 0").where(~dates.in_season(F.col("departure"), F.col("season")))
+    assert first.count() == 0
+
+
+def test_unreported_right_columns_drop(spark):
+    from stairfare.plans import export
+    from stairfare.rules.rights import RIGHT_KEYS
+    r = spark.createDataFrame([(1, "meal", "Paid"), (1, "pet", "Unknown"), (2, "wifi", "Included")], "id int, right_key string, status string")
+    wide = export.right_columns(r, ["id"])
+    assert wide.columns == ["id", *RIGHT_KEYS]
+    assert export.drop_unreported(wide).columns == ["id", "meal", "wifi"]
+
+
+def test_adapters_by_priority(spark):
+    from stairfare.sources.adapters import REGISTRY, normalized
+    df = spark.createDataFrame([("direct", "TK", "USD", Decimal("1.00")), ("direct", "ZZ", "USD", Decimal("1.00")),
+                                ("market", "ZZ", "TRY", Decimal("100.00")), ("search", "ZZ", "USD", None)],
+                               "source string, carrier string, currency string, price_value decimal(14,2)")
+    out = sorted((r.priority, r.carrier, r.currency, r.price_value) for r in normalized(df).collect())
+    assert out == [(1, "TK", "USD", Decimal("1.00")), (2, "ZZ", "USD", Decimal("2.43"))]
+    assert [p for p, _, _ in sorted(REGISTRY.values(), key=lambda v: v[0])] == [1, 2, 3]
