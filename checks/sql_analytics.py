@@ -3,7 +3,6 @@
 from . import cte as c
 from .cte import C, U, base, build as b, key, rank_of, tier
 from .sql_ladders import FL, L
-from stairfare.rules import rights as R
 
 SQL = {}
 M = "origin, destination, season, cabin"

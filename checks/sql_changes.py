@@ -1,6 +1,6 @@
 """SQL for human corrections."""
 
-from stairfare.operators.changeset import COLUMNS, RIGHT_COLS
+from stairfare.operators.changeset import RIGHT_COLS
 from stairfare.rules import rights as R
 
 from . import cte as c

@@ -1,7 +1,5 @@
 """SQL for choosing itineraries and merging sources and dates."""
 
-from stairfare.rules import rights as R
-
 from . import cte as c
 from .cte import C, U, base, build as b, key, r3, rank_of
 from .sql_ladders import FL

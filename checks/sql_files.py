@@ -4,10 +4,9 @@ from stairfare.rules import rights as R
 
 from . import cte as c
 from .cte import C, U, base, build as b, rank_of
-from .sql_choosing import D
 from .sql_ladders import FL, L
 from .sql_quality import SUMMARY
-from .sql_texts import item_text, rule_line
+from .sql_texts import rule_line
 
 SQL = {}
 C["res_rights"] = f"SELECT {FL}, raw_brand_name, count(*) AS nr FROM best_rights GROUP BY ALL"

@@ -3,7 +3,6 @@
 import re
 
 from stairfare.rules import places, rights as R
-from stairfare.sources import bridge as B
 
 from . import cte as c
 from .cte import C, U, build as b, key

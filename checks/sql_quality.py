@@ -3,7 +3,7 @@
 from stairfare.rules import rights as R, vocab
 
 from . import cte as c
-from .cte import C, U, base, build as b, key, pretty, subrank, subtier
+from .cte import C, U, base, build as b, pretty, subrank, subtier
 from .sql_choosing import D
 from .sql_ladders import FL, L
 

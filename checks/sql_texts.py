@@ -1,7 +1,6 @@
 """SQL for the bulk text jobs."""
 
 from stairfare.rules import rights as R, vocab
-from stairfare.sources import bridge as B
 
 from . import cte as c
 

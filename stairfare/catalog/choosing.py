@@ -7,7 +7,6 @@ from ..operators import ladder, matching, selection
 from ..plans import gold
 from ..rules.rights import RIGHT_KEYS
 from ..sources import bridge
-from ..sources.tables import table
 from .ladders import dated_ladders
 from .registry import query
 

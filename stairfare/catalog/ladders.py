@@ -5,7 +5,6 @@ from pyspark.sql import Window, functions as F
 from ..functions import names
 from ..operators import consensus, ladder
 from ..plans import gold
-from ..rules import vocab
 from ..sources import bridge
 from .registry import query
 

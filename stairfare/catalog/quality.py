@@ -8,7 +8,7 @@ from ..plans import gold
 from ..rules import rights as R, vocab
 from ..sources import bridge
 from .choosing import SIDED, sides
-from .ladders import L, route_ladders
+from .ladders import L
 from .registry import query
 from .texts import tally
 

@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import names
-from ..functions.names import let, match_key
 
 EXPECTED_CABINS = 1
 
