@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import contamination
+from . import contamination, personal_data, quality_votes
 from .records import KEY, TEXT
 
 QUERIES = {}
@@ -23,8 +23,25 @@ def _documents(spark, sf_dir) -> DataFrame:
     return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias(KEY), F.col("text").alias(TEXT))
 
 
+def _listed(spans: str):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query
+def op4_personal_data(spark, sf_dir):
+    found = personal_data.find(_documents(spark, sf_dir))
+    return found.select(F.col(KEY).alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(_listed("base_spans"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     found = contamination.overlap(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
     return found.select(F.col(KEY).alias("doc_id"), "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op10_quality_votes(spark, sf_dir):
+    judged = quality_votes.judge(_documents(spark, sf_dir))
+    return judged.select(F.col(KEY).alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
