@@ -24,21 +24,25 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(cores, *columns)
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session, where driver and executors share one machine, may fall back to
-    a temporary folder.
+    Only a local session that leaves the setting out, where driver and executors share one machine,
+    gets a folder of its own, one per application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) \
         or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="stairfare-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="stairfare-")
+    return _OWN[context.applicationId]
 
 
 def scratch(spark: SparkSession, label: str) -> str:
