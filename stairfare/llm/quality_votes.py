@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.tables import scratch
-from .records import KEY, TEXT, keyed, without
+from .records import KEY, TEXT, keyed, restored, without
 
 #: name -> (figure, good if at most, bad if at least); a figure in between is no vote.
 RULES = {
@@ -39,7 +39,7 @@ SPACE = " \t\n\x0b\x0c\r"
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 _MARKED = re.compile(r"[#*$%&|<>]+")
 _LOOSE = re.compile(r"(?:^|[\x20\x09-\x0D])[^\w\x20\x09-\x0D]+(?=[\x20\x09-\x0D]|$)")
-SCHEMA = ("__key {kind}, __mark long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+SCHEMA = ("__key string, __mark long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
           + ", ".join(f"v_{r} int" for r in RULES))
 
 
@@ -147,20 +147,20 @@ def judge(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     written once to the shared folder.
     """
     spark = packages.sparkSession
-    kind = packages.schema[key].dataType.simpleString()
-    plain = keyed(packages, key, text).withColumn("__mark", F.xxhash64("__text"))
+    plain = keyed(packages, key, text, for_python=True).withColumn("__mark", F.xxhash64("__text"))
     folder = scratch(spark, "votes")
-    plain.mapInPandas(_measured, SCHEMA.format(kind=kind)).write.parquet(folder)
-    rows = spark.read.schema(SCHEMA.format(kind=kind)).parquet(folder)
+    plain.mapInPandas(_measured, SCHEMA).write.parquet(folder)
+    rows = spark.read.schema(SCHEMA).parquet(folder)
 
     names = [f"v_{r}" for r in RULES]
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     patterns = rows.where(~failed).groupBy(*names).agg(F.count("*").alias("n")).toPandas()  # at most 3 ** len(RULES) rows
     patterns["p_good"] = fit(patterns[names].to_numpy(), patterns["n"].to_numpy())[0]
     found = spark.createDataFrame(patterns[[*names, "p_good"]], ", ".join([*[f"{n} int" for n in names], "p_good double"]))
+    rows = restored(rows.withColumnRenamed("__key", key), key, packages)
     return rows.join(F.broadcast(found), names, "left").withColumn("base_failed", failed) \
         .withColumn("p_good", F.when(~F.col("base_failed"), F.col("p_good"))) \
-        .select(F.col("__key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        .select(F.col(f"`{key}`"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                 "base_failed", "p_good", F.coalesce(F.col("p_good") >= 0.5, F.lit(False)).alias("kept"), *names, "__mark")
 
 

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import contamination, personal_data, quality_votes
+from . import contamination, packing, personal_data, quality_votes, token_files
 from .records import KEY, TEXT
 
 QUERIES = {}
@@ -23,6 +23,24 @@ def _documents(spark, sf_dir) -> DataFrame:
     return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias(KEY), F.col("text").alias(TEXT))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_pack(spark, sf_dir):
+    pieces = packing.pack(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))
+    return pieces.select(F.col(KEY).alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op2_token_files(spark, sf_dir):
+    folder, dictionary, shards = token_files.write(_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"))
+    stored = token_files.read(spark, folder, dictionary, shards, kind="bigint")
+    return stored.select(F.col(KEY).alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def _listed(spans: str):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 

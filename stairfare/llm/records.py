@@ -27,9 +27,18 @@ def note_texts(changes: DataFrame) -> DataFrame:
                           F.col("Note").alias(TEXT))
 
 
-def keyed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Only ``__key`` and ``__text`` (null as empty), whatever else the table holds."""
-    return df.select(F.col(f"`{key}`").alias("__key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+def keyed(df: DataFrame, key: str, text: str, for_python: bool = False) -> DataFrame:
+    """Only ``__key`` and ``__text`` (null as empty), whatever else the table holds.
+
+    For Python the key is text, since pandas has no null among integers; ``restored`` turns it back.
+    """
+    k = F.col(f"`{key}`")
+    return df.select((k.cast("string") if for_python else k).alias("__key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+
+
+def restored(df: DataFrame, key: str, source: DataFrame) -> DataFrame:
+    """``df`` with its text column ``key`` cast to the type it has in ``source``."""
+    return df.withColumn(key, F.col(f"`{key}`").cast(source.schema[key].dataType))
 
 
 def once(df: DataFrame, **values: Column) -> DataFrame:
