@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import contamination, packing, personal_data, quality_votes, token_files
+from . import contamination, overlap_join, packing, personal_data, quality_votes, token_files
 from .records import KEY, TEXT
 
 QUERIES = {}
@@ -41,6 +41,12 @@ def op2_token_files(spark, sf_dir):
     return stored.select(F.col(KEY).alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op3_shingle_links(spark, sf_dir):
+    linked = overlap_join.link(_documents(spark, sf_dir))
+    return linked.select(F.col(KEY).alias("doc_id"), "n_shingles", F.col("component_key").alias("component_id"))
+
+
 def _listed(spans: str):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 

@@ -48,8 +48,10 @@ def _hash(dictionary: bytes) -> int:
 def train(packages: DataFrame, tokenizer: str, key: str = KEY, text: str = TEXT) -> bytes:
     """Dictionary from at most ``DICT_TEXTS`` short texts; empty if there are too few to train on."""
     short = keyed(packages, key, text).select("__text").where(F.length("__text").between(1, DICT_CHARS)) \
-        .withColumn("__h", F.xxhash64("__text")).orderBy("__h", "__text").limit(DICT_TEXTS)
-    samples = tokens.encoder(tokenizer).encode([r["__text"] for r in short.collect()])
+        .withColumn("__h", F.xxhash64("__text"))
+    smallest = [r["__h"] for r in short.select("__h").distinct().orderBy("__h").limit(DICT_TEXTS).collect()]
+    chosen = short.where(F.col("__h") <= smallest[-1]).dropDuplicates(["__h"]).orderBy("__h").collect() if smallest else []
+    samples = tokens.encoder(tokenizer).encode([r["__text"] for r in chosen])
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes() if len(samples) >= 8 else b""
     except zstandard.ZstdError:

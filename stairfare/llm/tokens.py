@@ -14,7 +14,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Words kept per process; about 200 bytes each.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_200_000
 #: Texts whose missing words are encoded in one call.
 TEXTS_AT_ONCE = 400
 
