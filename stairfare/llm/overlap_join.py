@@ -150,6 +150,9 @@ def _sets(batches):
                                 "hashes": [h[e - k:e].tobytes() for e, k in zip(ends, n)]})
 
 
+PACKED = "hashes binary, at binary, uids binary, sizes binary"
+
+
 def _send_sets(buckets):
     """Whole sets, packed by hash range, to learn how many sets have each hash."""
     def run(batches):
@@ -170,53 +173,56 @@ def _send_sets(buckets):
                     x, w = h[bounds[b]:bounds[b + 1]], owner[bounds[b]:bounds[b + 1]]
                     if len(x):
                         own, at = np.unique(w, return_inverse=True)
-                        rows.append((b, x.tobytes(), at.astype("<u2").tobytes(), uid[own].astype("<i8").tobytes()))
-                yield pd.DataFrame(rows, columns=["bucket", "hashes", "at", "uids"])
+                        rows.append((b, x.tobytes(), at.astype("<u2").tobytes(), uid[own].astype("<i8").tobytes(), n[own].astype("<i8").tobytes()))
+                yield pd.DataFrame(rows, columns=["bucket", "hashes", "at", "uids", "sizes"])
     return run
 
 
-def _count(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of each set, its hashes in this range that other sets have as well, with the number of sets."""
-    arrays = [np.frombuffer(x, "<u8") for x in pdf["hashes"]]
-    unique, inverse, count = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
-    df = np.minimum(count[inverse], (1 << 32) - 1).astype("<u4")
-    rows, first = [], 0
-    for h, at, uids in zip(arrays, pdf["at"], pdf["uids"]):
-        at, d = np.frombuffer(at, "<u2"), df[first:first + len(h)]
-        first += len(h)
-        some = d > 1
-        order = np.argsort(at[some], kind="stable")
-        at, hs, ds = at[some][order], h[some][order], d[some][order]
-        for uid, lo, hi in zip(np.frombuffer(uids, "<i8")[np.unique(at)].tolist(),
-                               *(lambda s: (s[:-1], s[1:]))(np.concatenate([np.flatnonzero(np.diff(at, prepend=-1)), [len(at)]]).tolist())):
-            rows.append((uid, hs[lo:hi].tobytes(), ds[lo:hi].tobytes()))
-    return pd.DataFrame(rows, columns=["uid", "hashes", "counts"])
+def _count(groups):
+    """One hash range: each set's hashes that other sets have as well, with the number of sets, packed by set."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        h = np.concatenate([np.frombuffer(x, "<u8") for x in pdf["hashes"]])
+        at = [np.frombuffer(x, "<u2") for x in pdf["at"]]
+        uid = np.concatenate([np.frombuffer(u, "<i8")[a] for u, a in zip(pdf["uids"], at)])
+        n = np.concatenate([np.frombuffer(s, "<i8")[a] for s, a in zip(pdf["sizes"], at)])
+        _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+        df = count[inverse]
+        some = df > 1
+        h, uid, n, df = h[some], uid[some], n[some], df[some]
+        group = uid % groups
+        order = np.lexsort((uid, group))
+        h, uid, n, df, group = h[order], uid[order], n[order], df[order], group[order]
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(h)] if len(h) else [0]
+        return pd.DataFrame([(int(group[lo]), h[lo:hi].tobytes(), np.minimum(df[lo:hi], (1 << 32) - 1).astype("<u4").tobytes(),
+                              uid[lo:hi].tobytes(), n[lo:hi].tobytes()) for lo, hi in zip(cuts[:-1], cuts[1:])],
+                            columns=["bucket", "hashes", "counts", "uids", "sizes"])
+    return run
 
 
 POSTINGS = "h long, uid long, n long, place long, map binary"
 
 
-def _first_places(batches):
+def _first_places(pdf: pd.DataFrame) -> pd.DataFrame:
     """Postings of each set's rarest shared hashes, as many as a linked set must meet; none if too few are shared."""
-    for pdf in batches:
-        rows = []
-        for uid, n, pieces in zip(pdf["uid"].tolist(), pdf["n"].tolist(), pdf["pieces"]):
-            h = np.frombuffer(b"".join(p["hashes"] for p in pieces), "<u8")
-            df = np.frombuffer(b"".join(p["counts"] for p in pieces), "<u4")
-            alone = n - len(h)
-            look = int(_spare(n)) + 1 - alone
-            if look <= 0:
-                continue
-            best = np.lexsort((h, df))[:look]
-            bits = np.frombuffer(pdf_map(h, n), "<u8").tobytes()
-            rows += [(x, uid, n, alone + i, bits) for i, x in enumerate(h[best].view(np.int64).tolist())]
-        yield pd.DataFrame(rows, columns=["h", "uid", "n", "place", "map"])
-
-
-def pdf_map(shared: np.ndarray, n: int) -> bytes:
+    h, df, uid, n = (np.concatenate([np.frombuffer(x, t) for x in pdf[c]])
+                     for c, t in (("hashes", "<u8"), ("counts", "<u4"), ("uids", "<i8"), ("sizes", "<i8")))
+    order = np.lexsort((h, df, uid))
+    h, uid, n = h[order], uid[order], n[order]
+    rows = []
+    cuts = [0, *(np.flatnonzero(np.diff(uid)) + 1).tolist(), len(uid)]
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        alone = int(n[lo]) - (hi - lo)
+        look = int(_spare(int(n[lo]))) + 1 - alone
+        if look > 0:
+            bits = parity_map(h[lo:hi])
+            rows += [(x, int(uid[lo]), int(n[lo]), alone + i, bits) for i, x in enumerate(h[lo:min(hi, lo + look)].view(np.int64).tolist())]
+    return pd.DataFrame(rows, columns=["h", "uid", "n", "place", "map"])
+
+
+def parity_map(shared: np.ndarray) -> bytes:
     """Parity bit map of a set's shared hashes.
 
-    Hashes that no other set has are left out: they can only add to the difference, by a known number.
+    Hashes that no other set has are left out: they can only add to the difference.
     """
     bit = shared % np.uint64(64 * MAP_WORDS)
     odd = np.flatnonzero(np.bincount(bit.astype(np.int64), minlength=64 * MAP_WORDS) & 1)
@@ -375,10 +381,9 @@ def link(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     reps = sets.join(firsts, "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "n", "hashes")
     reps = written(reps, "representatives")
 
-    shared = reps.mapInPandas(_send_sets(buckets), "bucket int, hashes binary, at binary, uids binary") \
-        .groupBy("bucket").applyInPandas(_count, "uid long, hashes binary, counts binary") \
-        .groupBy("uid").agg(F.collect_list(F.struct("hashes", "counts")).alias("pieces"))
-    postings = written(shared.join(reps.select("uid", "n"), "uid").mapInPandas(_first_places, POSTINGS), "postings")
+    counted = reps.mapInPandas(_send_sets(buckets), f"bucket int, {PACKED}").groupBy("bucket") \
+        .applyInPandas(_count(buckets), "bucket int, hashes binary, counts binary, uids binary, sizes binary")
+    postings = written(counted.groupBy("bucket").applyInPandas(_first_places, POSTINGS), "postings")
     long_lists = postings.groupBy("h").agg(F.ceil(F.count("*") / LIST_AT_ONCE).cast("int").alias("parts")).where("parts > 1")
     dealt = postings.join(long_lists, "h", "left").withColumn("parts", F.coalesce("parts", F.lit(1))) \
         .withColumn("block", F.pmod(F.xxhash64("uid", F.lit(7)), F.col("parts")).cast("int")) \
@@ -396,11 +401,12 @@ def link(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
 
     group = member.join(found, member["rep"] == found["node"], "left").select("uid", F.coalesce("root", "rep").alias("root"))
     named = base.select("__key", "__mark", "__uid").join(group, F.col("__uid") == F.col("uid"), "left").drop("uid") \
-        .join(sizes.select("uid", "n"), F.col("__uid") == F.col("uid"), "left").drop("uid")
-    lowest = named.where("root is not null").groupBy("root").agg(F.min("__key").alias("lowest"))
+        .join(sizes.select("uid", "n"), F.col("__uid") == F.col("uid"), "left").drop("uid") \
+        .withColumn("root", F.coalesce("root", "__uid"))  # else all unlinked rows would meet in one task
+    lowest = named.groupBy("root").agg(F.min("__key").alias("lowest"))
     return named.join(lowest, "root", "left").select(
         F.col("__key").alias(key), F.coalesce("n", F.lit(0)).alias("n_shingles"),
-        F.coalesce("lowest", "__key").alias("component_key"), "__mark")
+        F.col("lowest").alias("component_key"), "__mark")
 
 
 def keep_one(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:

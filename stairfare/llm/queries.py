@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import contamination, overlap_join, packing, personal_data, quality_votes, token_files
+from . import contamination, dialogues, overlap_join, packing, page_text, personal_data, quality_votes, token_files, toxicity
 from .records import KEY, TEXT
 
 QUERIES = {}
@@ -58,6 +58,21 @@ def op4_personal_data(spark, sf_dir):
                         F.sha2(_listed("base_spans"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+@query
+def op6_chat_format(spark, sf_dir):
+    """Conversation -7 is the contract's own: both its texts consist of control strings."""
+    vocabulary = _vocabulary("byte_bpe_50k.json")
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], given.schema)
+    formatted = dialogues.format_turns(given.unionByName(own), vocabulary)
+    back = dialogues.read_back(formatted, vocabulary)
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss_texts", "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+                       F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     found = contamination.overlap(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
@@ -65,6 +80,21 @@ def op7_decontaminate(spark, sf_dir):
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query
+def op8_page_text(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    texts = page_text.extract(pages.select("page_id", "url", "html"), page_text.train(pages), carry=("url",))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY), "toxic")
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(F.col(KEY).alias("doc_id"), "held_out", "score", "predicted")
+
+
 @query
 def op10_quality_votes(spark, sf_dir):
     judged = quality_votes.judge(_documents(spark, sf_dir))
