@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import contamination, dialogues, overlap_join, packing, page_text, personal_data, quality_votes, token_files, toxicity
+from . import contamination, dialogues, overlap_join, packing, page_text, personal_data, quality_votes, repeats, token_files, toxicity
 from .records import KEY, TEXT
 
 QUERIES = {}
@@ -58,6 +58,12 @@ def op4_personal_data(spark, sf_dir):
                         F.sha2(_listed("base_spans"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+@query
+def op5_repeats(spark, sf_dir):
+    cut = repeats.remove_repeats(_documents(spark, sf_dir))
+    return cut.select(F.col(KEY).alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_chat_format(spark, sf_dir):
     """Conversation -7 is the contract's own: both its texts consist of control strings."""
