@@ -255,7 +255,7 @@ def train(pages: DataFrame, html: str = "html") -> Labeller:
     m1, m2 = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
     step = 0
     for _ in range(EPOCHS):
-        order = rng.permutation(len(sample))
+        order = rng.permutation(np.resize(np.arange(len(sample)), max(len(sample), TRAIN_PAGES)))  # few pages are used again, worked differently
         for lo in range(0, len(order), 20):
             batch = [_worked_in(sample[i], texts, rng) for i in order[lo:lo + 20]]
             x, lengths = _padded([vectors(p) for p in batch])

@@ -60,7 +60,7 @@ def _mod97(match: Column) -> Column:
 
     def step(rest, c):
         return F.when(c.rlike("[0-9]"), (rest * 10 + c.cast("int")) % 97).otherwise((rest * 100 + F.ascii(c) - 55) % 97)
-    return F.length(plain).between(15, 34) & (F.aggregate(F.split(moved, "(?!^)"), F.lit(0), step) == 1)
+    return F.length(plain).between(15, 34) & (F.aggregate(F.split(moved, "(?<=.)(?=.)"), F.lit(0), step) == 1)
 
 
 def _confirmed(kind: str, match: Column) -> Column:
