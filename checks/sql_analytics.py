@@ -15,9 +15,9 @@ SQL["a23_market_position"] = b(f"""SELECT *, CASE WHEN own_fee < market_mean*CAS
   FROM market_steps GROUP BY ALL) WHERE own_fee IS NOT NULL""")
 SQL["j24_rival_comparison"] = b(f"""SELECT {M}, step, CAST(own AS DOUBLE) AS own_fee, rivals, CAST(own AS DOUBLE) - CAST(rs AS DOUBLE)/rivals AS gap FROM (SELECT {M}, step, fee AS own FROM market_steps WHERE carrier='TK')
   JOIN (SELECT {M}, step, count(*) AS rivals, sum(fee) AS rs FROM market_steps WHERE carrier<>'TK' GROUP BY ALL) USING ({M}, step)""")
-SQL["a24_package_index"] = b(f"""SELECT origin, destination, season, {tier('cabin', 'brand_order')} AS tier, {', '.join(f"CAST(min(price) FILTER (carrier='{x}') AS DOUBLE) AS {c.lit(x).replace(chr(39), chr(34))}" for x in ('TK', 'LH', 'BA', 'AC', 'ZZ'))}
+SQL["a24_package_index"] = b(f"""SELECT origin, destination, season, {tier('cabin', 'brand_order')} AS tier, carrier, CAST(min(price) AS DOUBLE) AS price
   FROM ranked_ladders GROUP BY ALL""")
-SQL["a25_fee_heatmap"] = b(f"""SELECT carrier, {', '.join(f"CAST(sum(fee) FILTER (step='{i}-{i+1}') AS DOUBLE)/count(fee) FILTER (step='{i}-{i+1}') AS s{i}_{i+1}" for i in range(1, 7))} FROM step_rows GROUP BY ALL""")
+SQL["a25_fee_heatmap"] = b("SELECT carrier, step, CAST(sum(fee) AS DOUBLE)/count(fee) AS mean_fee, count(*) AS units FROM step_rows GROUP BY ALL")
 C["ladder_rights"] = f"""SELECT {U}, group_cabin AS cabin, raw_brand_name, right_key, status FROM rights
   QUALIFY row_number() OVER (PARTITION BY {U}, group_cabin, raw_brand_name, right_key ORDER BY {rank_of('status')} DESC, pos DESC)=1"""
 C["tier_rights"] = f"""SELECT * FROM ranked_ladders JOIN (SELECT {L}, raw_brand_name, coalesce(list(right_key) FILTER (status IN ('Included','Paid')), []) AS granted,

@@ -26,7 +26,7 @@ C["completed"] = f"SELECT DISTINCT {U} FROM date_walk WHERE outcome='found' AND
 SQL["j12_pending_units"] = b(f"SELECT {U}, pos FROM planned ANTI JOIN completed USING ({U})")
 SQL["j13_reload_completed"] = b(f"SELECT {U}, pass_no, packages FROM records SEMI JOIN completed USING ({U}) QUALIFY row_number() OVER (PARTITION BY {U} ORDER BY pass_no)=1")
 SQL["j14_opportunistic_units"] = b(f"""SELECT {U} FROM (SELECT DISTINCT origin, destination FROM listing), (VALUES ('PC'),('VF')) x(carrier), (VALUES ('Summer'),('Winter')) s(season)
-  WHERE (carrier, origin, destination) NOT IN (SELECT (carrier, origin, destination) FROM listing)""", listing="SELECT * FROM job_rows WHERE carrier NOT IN ('PC','VF') OR pos%1000<100")
+  WHERE (carrier, origin, destination) NOT IN (SELECT (carrier, origin, destination) FROM listing)""", listing="SELECT * FROM job_rows")
 T = "DATE '2026-01-15'"
 
 
@@ -112,7 +112,7 @@ SQL["j19_feed_keys"] = b(tally("rights", "right_key", f"{c.mapping('right_key',
 SQL["j22_right_of_text"] = b(f"""SELECT role, right_key, CAST(sum(n) AS BIGINT) AS n FROM (SELECT role, {c.right_of('text')} AS right_key, 1 AS n FROM conversations
   UNION ALL SELECT 'panel', {c.right_of('line')}, n FROM (SELECT line, count(*) AS n FROM rule_lines GROUP BY ALL)) GROUP BY ALL""")
 SQL["j15_attach_by_price"] = b(f"""SELECT carrier, coalesce(bn, raw_brand_name) AS name, CASE WHEN mileage_available IS NULL AND bm IS NOT NULL THEN TRUE ELSE mileage_available END AS miles_flag,
-  count(*) AS n, count(bn) AS attached, sum(coalesce(bm, miles_earned)) AS miles FROM (SELECT *, CAST(round_even(price_value, 0) AS BIGINT) AS whole FROM cards WHERE price_value IS NOT NULL) c
+  count(*) AS n, count(bn) AS attached, sum(coalesce(bm, miles_earned)) AS miles FROM (SELECT *, CAST(round_even(price_value, 0) AS BIGINT) AS whole FROM cards) c
   LEFT JOIN (SELECT {FL}, CAST(round_even(price_value, 0) AS BIGINT) AS whole, arg_max(raw_brand_name, screen_order) AS bn, max({{'s': screen_order, 'm': miles_earned}}).m AS bm FROM cards WHERE price_value IS NOT NULL AND (n_rights > 3 OR ln > 2) GROUP BY ALL)
   USING ({FL}, whole) GROUP BY ALL""").replace("max({'s': screen_order, 'm': miles_earned}).m", "(max({'s': screen_order, 'm': miles_earned})).m")
 SQL["a20_route_census"] = b("""SELECT code, count(*) AS in_segments, max(coalesce(p,0)) AS with_packages FROM (SELECT m1 AS code FROM itineraries UNION ALL SELECT m2 FROM itineraries WHERE m2 IS NOT NULL)

@@ -71,6 +71,6 @@ SQL["x6_reading_diff"] = b("""SELECT *, count(*) AS n FROM ((SELECT *, 'first' A
   UNION ALL (SELECT *, 'second' FROM (SELECT carrier, group_cabin, raw_brand_name FROM sided WHERE side='secondary' EXCEPT ALL SELECT carrier, group_cabin, raw_brand_name FROM sided WHERE side='primary'))) GROUP BY ALL""")
 SQL["a33_without_rights"] = b(f"""SELECT carrier, raw_brand_name, count(*) AS n FROM cards ANTI JOIN (SELECT {FL}, raw_brand_name FROM rights WHERE status<>'Unknown' AND raw_value<>'') USING ({FL}, raw_brand_name) GROUP BY ALL""")
 SQL["a35_unit_sources"] = b(f"SELECT {U}, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS total_brands FROM results GROUP BY {U}")
-SQL["p15_reported_rights"] = b("SELECT right_key, count(*) AS reported FROM rights WHERE status<>'Unknown' AND right_key<>'pet' GROUP BY ALL")
+SQL["p15_reported_rights"] = b("SELECT right_key, count(*) AS reported FROM rights WHERE status<>'Unknown' GROUP BY ALL")
 falls = SQL["a12_falling_prices"]
-SQL["o2_first_findings"] = f"WITH q AS ({falls}) SELECT carrier, cabin, raw_brand_name, n, (SELECT count(*) FROM q) - 15 AS and_more FROM q ORDER BY carrier, cabin, raw_brand_name LIMIT 15"
+SQL["o2_first_findings"] = f"WITH q AS ({falls}) SELECT carrier, cabin, raw_brand_name, n, greatest((SELECT count(*) FROM q) - 15, 0) AS and_more FROM q ORDER BY carrier, cabin, raw_brand_name LIMIT 15"

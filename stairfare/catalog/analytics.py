@@ -63,19 +63,16 @@ def j24_rival_comparison(spark, sf, target="TK"):
 
 @query
 def a24_package_index(spark, sf):
-    """Tiers of one market side by side, one column per carrier."""
+    """Cheapest price of each tier of a market by carrier; all carriers, a row each."""
     df = route_ladders(spark, sf).withColumn("tier", names.tier_code(F.col("cabin"), F.col("brand_order")))
-    shown = ["TK", "LH", "BA", "AC", "ZZ"]
-    return df.groupBy("origin", "destination", "season", "tier").pivot("carrier", shown).agg(
-        F.min("price").cast("double"))
+    return df.groupBy("origin", "destination", "season", "tier", "carrier").agg(F.min("price").cast("double").alias("price"))
 
 
 @query
 def a25_fee_heatmap(spark, sf):
-    steps = [f"{i}-{i + 1}" for i in range(1, 7)]
-    t = step_rows(spark, sf).withColumn("step", F.concat(F.lit("s"), F.replace("step", F.lit("-"), F.lit("_"))))
-    agg = F.sum("fee").cast("double") / F.count("fee")
-    return t.groupBy("carrier").pivot("step", ["s" + s.replace("-", "_") for s in steps]).agg(agg)
+    """Mean fee of each tier step by carrier; all steps, a row each."""
+    return step_rows(spark, sf).groupBy("carrier", "step").agg(
+        (F.sum("fee").cast("double") / F.count("fee")).alias("mean_fee"), F.count("*").alias("units"))
 
 
 def tier_rights(spark, sf):

@@ -99,10 +99,9 @@ def j13_reload_completed(spark, sf):
 def j14_opportunistic_units(spark, sf):
     """Listed carriers times routes is an explode of the short list, not a cross join."""
     df = bridge.job_rows(spark, sf)
-    some = df.where(~F.col("carrier").isin(OPPORTUNISTIC) | (F.col("pos") % 1000 < 100))
-    extra = some.select("origin", "destination").distinct().withColumn(
+    extra = df.select("origin", "destination").distinct().withColumn(
         "carrier", F.explode(F.array(*[F.lit(c) for c in OPPORTUNISTIC])))
-    listed = some.select("carrier", "origin", "destination").distinct()
+    listed = df.select("carrier", "origin", "destination").distinct()
     return dates.with_seasons(extra.join(listed, ["carrier", "origin", "destination"], "left_anti")) \
         .select(*U)
 
@@ -300,10 +299,12 @@ def j22_right_of_text(spark, sf):
 
 @query
 def j15_attach_by_price(spark, sf):
-    """Names and miles from a second reading, joined by rounded price (the last reading wins)."""
-    df = bridge.cards(spark, sf).where("price_value is not null").withColumn(
-        "whole", F.bround(F.col("price_value"), 0).cast("bigint"))
-    seen = df.where("n_seen > 1 or ln > 2").groupBy(*bridge.FLIGHT, "whole").agg(
+    """Names and miles from a second reading, joined by rounded price (the last reading wins).
+
+    A package without a price is never looked up, but stays.
+    """
+    df = bridge.cards(spark, sf).withColumn("whole", F.bround(F.col("price_value"), 0).cast("bigint"))
+    seen = df.where("price_value is not null and (n_seen > 1 or ln > 2)").groupBy(*bridge.FLIGHT, "whole").agg(
         F.max(F.struct("screen_order", "raw_brand_name", "miles_earned")).alias("b"))
     out = df.join(seen, bridge.FLIGHT + ["whole"], "left")
     earned = F.coalesce(F.col("b.miles_earned"), F.col("miles_earned"))

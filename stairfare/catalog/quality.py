@@ -229,15 +229,21 @@ def a35_unit_sources(spark, sf):
 def p15_reported_rights(spark, sf):
     """Rights some row reports; one aggregate decides which columns survive."""
     from ..plans.export import reported_rights
-    df = bridge.rights(spark, sf).where("right_key <> 'pet' or status = 'Unknown'")
-    return reported_rights(df)
+    return reported_rights(bridge.rights(spark, sf))
+
+
+def first_findings(bad, order, first=15):
+    """The first findings in ``order`` and, beside each, how many are left out (none below ``first``).
+
+    Showing the first ones is the report's purpose.  Their number is a one-row relation joined back, so
+    building the query runs nothing.
+    """
+    total = bad.agg(F.count("*").alias("found"))
+    return bad.orderBy(*order).limit(first).join(F.broadcast(total)) \
+        .withColumn("and_more", F.greatest(F.col("found") - first, F.lit(0))).drop("found")
 
 
 @query
 def o2_first_findings(spark, sf):
-    """First findings of a check with the number left out (this report is a top-n by design)."""
-    bad = a12_falling_prices(spark, sf)
-    total = bad.count()                      # one number for the report's last line
-    top = bad.orderBy("carrier", "cabin", "raw_brand_name").limit(15)
-    return top.select("carrier", "cabin", "raw_brand_name", "n",
-                      F.lit(total - 15).cast("bigint").alias("and_more"))
+    bad = a12_falling_prices(spark, sf).select("carrier", "cabin", "raw_brand_name", "n")
+    return first_findings(bad, ["carrier", "cabin", "raw_brand_name"])

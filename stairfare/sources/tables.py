@@ -11,19 +11,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows over all cores when a scan yields fewer tasks than there are cores.
-
-    A table of a few files, each one row group, is read by as many tasks as it has groups, and
-    everything up to the first shuffle would run in them.  Tables of many files pass unchanged.
-    Hashing all identifying columns keeps a hot key from landing in one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *columns)
-
-
 _OWN: dict[str, str] = {}
 
 
