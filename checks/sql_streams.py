@@ -25,9 +25,9 @@ SQL["t6_run_tallies"] = b("""SELECT run_id, CAST(3 AS INT) AS skipped, count(*)
   count(*) FILTER (t AND status='failed') AS failed, CAST(coalesce(sum(brands) FILTER (t), 0) AS BIGINT) AS brands FROM (SELECT *, attempt<>4 AS t FROM log) GROUP BY ALL""")
 SQL["t6_per_minute"] = b(f"""SELECT {st("date_trunc('hour', ts)", 'start')}, count(*) AS outcomes, count(*) FILTER (status='success') AS succeeded, count(*) FILTER (status='partial') AS partial,
   count(*) FILTER (status='failed') AS failed, CAST(sum(brands) AS BIGINT) AS brands FROM log GROUP BY date_trunc('hour', ts)""")
-SQL["t7_idle_sessions"] = b(f"""SELECT unit, {st('min(ts)', 'start')}, {st("max(ts) + INTERVAL 12 HOUR", '"end"')}, count(*) AS events FROM (SELECT *, count(*) FILTER (gap) OVER (PARTITION BY unit ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sess FROM (
-  SELECT *, coalesce(ts >= lag(ts) OVER (PARTITION BY unit ORDER BY ts, event_id) + INTERVAL 12 HOUR, TRUE) AS gap FROM ev)) GROUP BY unit, sess""")
-SQL["t8_live_health"] = b("""SELECT unit, outcomes, good AS succeeded, NOT (outcomes>20 AND good*100//outcomes<25) AS may_continue FROM (SELECT unit, count(*) AS outcomes, count(*) FILTER (status='success') AS good FROM log GROUP BY ALL)""")
+SQL["t7_idle_sessions"] = b(f"""SELECT run_id, {st('min(ts)', 'start')}, {st("max(ts) + INTERVAL 300 SECOND", '"end"')}, count(*) AS events FROM (SELECT *, count(*) FILTER (gap) OVER (PARTITION BY run_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sess FROM (
+  SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY run_id ORDER BY ts, event_id) + INTERVAL 300 SECOND, TRUE) AS gap FROM (SELECT *, 'run' || strftime(ts, '%Y%m%d') AS run_id FROM ev))) GROUP BY run_id, sess""")
+SQL["t8_live_health"] = b("""SELECT run_id, outcomes, good AS succeeded, NOT (outcomes>20 AND good*100//outcomes<25) AS may_continue FROM (SELECT run_id, count(*) AS outcomes, count(*) FILTER (status='success') AS good FROM log GROUP BY ALL)""")
 C["late"] = "SELECT *, event_id%2=1 AND ts < (SELECT max(ts) FROM ev WHERE event_id%2=0) - INTERVAL 2 DAY AS is_late FROM ev"
 SQL["t9_late_records"] = b(f"SELECT *, FALSE AS is_late FROM ({strongest('(SELECT * FROM late WHERE NOT is_late)')}) UNION ALL SELECT *, TRUE FROM ({strongest('(SELECT * FROM late WHERE is_late)')})")
 from stairfare.sources.bridge import CARRIERS  # noqa: E402

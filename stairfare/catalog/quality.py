@@ -206,7 +206,7 @@ def a21_reading_fingerprint(spark, sf):
 def x6_reading_diff(spark, sf):
     p, s = sides(spark, sf)
     cols = ["carrier", "group_cabin", "raw_brand_name"]
-    return quality.reading_diff(p.select(*cols), s.select(*cols)).groupBy(*cols, "only_in").agg(F.count("*").alias("n"))
+    return quality.reading_diff(p.select(*cols), s.select(*cols)).withColumnRenamed("surplus", "n")
 
 
 @query

@@ -33,7 +33,7 @@ def t2_event_stream(spark, sf):
 
 @query
 def t3_strongest_per_unit(spark, sf):
-    return ev.run_to_latest(ev.strongest(ev.event_stream(spark, sf)), "strongest")
+    return ev.run_to_latest(ev.strongest(ev.event_stream(spark, sf)), "strongest", ["unit"])
 
 
 @query
@@ -49,7 +49,7 @@ def t4_exactly_once(spark, sf):
 @query
 def t5_throughput(spark, sf):
     """Finished units in the last ten minutes, minute by minute, with the time left."""
-    rate = ev.run_to_latest(ev.throughput(ev.event_stream(spark, sf)), "rate")
+    rate = ev.run_to_latest(ev.throughput(ev.event_stream(spark, sf)), "rate", ["start", "end"])
     return ev.eta_minutes(rate, 100).select(text("start"), text("end"), "finished", "per_minute", "eta_minutes")
 
 
@@ -71,7 +71,7 @@ def t6_run_tallies(spark, sf):
     path = scratch(spark, "log")
     log_lines(spark, sf).write.text(path)
     stream = ev.run_tallies(ev.parse_log(spark.readStream.text(path)))
-    return ev.run_to_latest(stream, "tallies")
+    return ev.run_to_latest(stream, "tallies", ["run_id"])
 
 
 @query
@@ -79,32 +79,31 @@ def t6_per_minute(spark, sf):
     """Tumbling view of the outcomes."""
     e = ev.event_stream(spark, sf).withWatermark("ts", "10 minutes")
     t = ev.tallies(e, F.window("ts", "1 hour").alias("w"))
-    out = ev.run_to_latest(t.select(F.col("w.start").alias("start"), "outcomes", "succeeded", "partial", "failed", "brands"), "hourly")
+    out = ev.run_to_latest(t.select(F.col("w.start").alias("start"), "outcomes", "succeeded", "partial", "failed", "brands"), "hourly", ["start"])
     return out.select(text("start"), "outcomes", "succeeded", "partial", "failed", "brands")
 
 
 @query
 def t7_idle_sessions(spark, sf):
-    stream = ev.sessions(ev.event_stream(spark, sf), gap=12 * 3600)
-    out = ev.run_to_latest(stream, "sessions")
-    return out.select("unit", text("start"), text("end"), "events")
+    out = ev.run_to_whole(ev.sessions(ev.of_run(ev.event_stream(spark, sf))), "sessions")
+    return out.select("run_id", text("start"), text("end"), "events")
 
 
 @query
 def t8_live_health(spark, sf):
-    return ev.run_to_latest(ev.health(ev.event_stream(spark, sf), "unit"), "health")
+    """The publish gate of each run."""
+    return ev.run_to_latest(ev.health(ev.of_run(ev.event_stream(spark, sf)), "run_id"), "health", ["run_id"])
 
 
 @query
 def t9_late_records(spark, sf):
-    """Two deliveries; rows of the second that are too old go to the side table."""
-    path = scratch(spark, "two")
+    """Two deliveries with a restart between; rows of the second that are too old go to the side table."""
+    path, base = scratch(spark, "two"), scratch(spark, "late")
     raw = table(spark, sf, "events")
-    raw.where("event_id % 2 = 0").coalesce(1).write.parquet(f"{path}/a")
-    stream = lambda: spark.readStream.schema(ev.EVENT).option("recursiveFileLookup", True) \
-        .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 1).parquet(path)
-    raw.where("event_id % 2 = 1").coalesce(1).write.parquet(f"{path}/b")
-    on_time, late = ev.route_late(ev.parsed(stream()), "2 days", "late")
+    for part, folder in ((0, "a"), (1, "b")):
+        raw.where(F.col("event_id") % 2 == part).write.parquet(f"{path}/{folder}")
+        stream = spark.readStream.schema(ev.EVENT).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+        on_time, late = ev.route_late(ev.parsed(stream), "2 days", base)
     kept = ev.strongest(on_time).withColumn("is_late", F.lit(False))
     side = ev.strongest(late).withColumn("is_late", F.lit(True))
     return kept.unionByName(side)
@@ -118,4 +117,4 @@ def t10_stream_static_join(spark, sf):
 
 @query
 def t11_retries_per_unit(spark, sf):
-    return ev.run_to_latest(ev.retries(ev.event_stream(spark, sf)), "retries")
+    return ev.run_to_latest(ev.retries(ev.event_stream(spark, sf)), "retries", ["unit"])

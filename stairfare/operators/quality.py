@@ -96,9 +96,13 @@ def fingerprint(df: DataFrame, keys, *columns) -> DataFrame:
 
 
 def reading_diff(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows only one of two readings has, multiplicity included."""
-    return first.exceptAll(second).withColumn("only_in", F.lit("first")).unionByName(
-        second.exceptAll(first).withColumn("only_in", F.lit("second")))
+    """Distinct rows that one of two readings has more often, with how many more (``surplus``).
+
+    One aggregate counts both sides, so a value that many rows share is summed where the rows are.
+    """
+    both = first.withColumn("__side", F.lit(1)).unionByName(second.withColumn("__side", F.lit(-1)))
+    return both.groupBy(*first.columns).agg(F.sum("__side").alias("surplus")).where("surplus <> 0") \
+        .withColumn("only_in", F.when(F.col("surplus") > 0, "first").otherwise("second")).withColumn("surplus", F.abs("surplus"))
 
 
 def suspicious(df: DataFrame, accepted) -> DataFrame:

@@ -5,6 +5,7 @@ where it stopped.  State is kept by built-in aggregates.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.names import literal_map
 from ..operators import geography, quality
@@ -42,21 +43,44 @@ def run_to_files(stream: DataFrame, label: str, mode="append", schema=None, base
     return spark.read.schema(schema or stream.schema).parquet(f"{base}/out")
 
 
-def run_to_latest(stream: DataFrame, label: str) -> DataFrame:
-    """A complete result per micro-batch; a batch that runs again rewrites its own folder."""
+def run_to_latest(stream: DataFrame, label: str, keys, base=None) -> DataFrame:
+    """The latest result of each key after what has arrived so far.
+
+    A micro-batch writes only the keys it changed, under its own number, so a batch that runs again
+    rewrites its own folder.  The sink is read, not remembered: started again with the same ``base``,
+    the query goes on where it stopped, and with nothing new it gives what it gave before.
+    """
+    spark = stream.sparkSession
+    base = base or scratch(spark, label)
+    out = f"{base}/out"
+
+    def write(df, batch):
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    write(spark.createDataFrame([], stream.schema), -1)  # a stream without any file has an empty result
+    q = stream.writeStream.outputMode("update").foreachBatch(write) \
+        .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rest = [c for c in stream.columns if c not in keys]
+    schema = StructType([*stream.schema.fields, StructField("batch", LongType())])
+    return spark.read.schema(schema).parquet(out).groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")) \
+        .select(*[c if c in keys else F.col(f"r.{c}").alias(c) for c in stream.columns])
+
+
+def run_to_whole(stream: DataFrame, label: str) -> DataFrame:
+    """The whole result after what has arrived, for sessions, which Spark cannot update in place.
+
+    Sessions still open belong to it, so it cannot wait for the watermark to pass them.
+    """
     spark = stream.sparkSession
     base = scratch(spark, label)
-    seen = []
 
     def write(df, batch):
-        df.write.mode("overwrite").parquet(f"{base}/batch={batch}")
-        seen.append(batch)
+        df.write.mode("overwrite").parquet(f"{base}/out")
+    write(spark.createDataFrame([], stream.schema), -1)
     q = stream.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
-    if not seen:
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(f"{base}/batch={max(seen)}")
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
 def throughput(events: DataFrame, width="10 minutes", slide="1 minute") -> DataFrame:
@@ -73,11 +97,16 @@ def eta_minutes(rate: DataFrame, total: int) -> DataFrame:
     return rate.withColumn("eta_minutes", F.floor(left / F.col("per_minute") + 0.5).cast("bigint"))
 
 
+def of_run(events: DataFrame) -> DataFrame:
+    """Events with the run they belong to: one a day."""
+    return events.withColumn("run_id", F.concat(F.lit("run"), F.date_format("ts", "yyyyMMdd")))
+
+
 def sessions(events: DataFrame, gap=IDLE_SECONDS) -> DataFrame:
-    """Active spans of the run; silence longer than the gap means no active run."""
+    """Active spans of each run; silence longer than the gap means no active run."""
     ev = events.withWatermark("ts", "10 minutes")
-    return ev.groupBy("unit", F.session_window("ts", f"{gap} seconds").alias("w")).agg(F.count("*").alias("events")) \
-        .select("unit", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "events")
+    return ev.groupBy("run_id", F.session_window("ts", f"{gap} seconds").alias("w")).agg(F.count("*").alias("events")) \
+        .select("run_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "events")
 
 
 def tallies(events: DataFrame, *keys) -> DataFrame:
@@ -139,24 +168,22 @@ def run_tallies(parsed_log: DataFrame) -> DataFrame:
         n(s == "failed").alias("failed"), F.sum("brands").alias("brands"))
 
 
-def route_late(stream: DataFrame, delay: str, label: str):
+def route_late(stream: DataFrame, delay: str, base: str):
     """(on time, late): rows older than the newest earlier batch minus the delay go aside.
 
-    Every batch leaves its high-water mark beside its rows, under its own number, so a batch
-    that runs again reads the same marks and writes the same rows.
+    Every batch leaves the newest time so far beside its rows, under its own number, so a batch that
+    runs again reads the same mark and writes the same rows; a later start with ``base`` goes on.
     """
     spark = stream.sparkSession
-    base = scratch(spark, label)
 
     def write(df, batch):
         session = df.sparkSession
-        mark = None
-        if batch > 0:
-            mark = session.read.parquet(*[f"{base}/mark/batch={b}" for b in range(batch)]).agg(F.max("ts")).first()[0]
+        mark = session.read.parquet(f"{base}/mark/batch={batch - 1}").first()[0] if batch > 0 else None
         limit = F.lit(mark) - F.expr(f"interval {delay}") if mark is not None else None
         late = (F.col("ts") < limit) if limit is not None else F.lit(False)
         df.withColumn("is_late", late).write.mode("overwrite").parquet(f"{base}/rows/batch={batch}")
-        df.agg(F.max("ts").alias("ts")).write.mode("overwrite").parquet(f"{base}/mark/batch={batch}")
+        newest = F.max("ts") if mark is None else F.greatest(F.max("ts"), F.lit(mark))
+        df.agg(newest.alias("ts")).write.mode("overwrite").parquet(f"{base}/mark/batch={batch}")
     q = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/state") \
         .trigger(availableNow=True).start()
     q.awaitTermination()

@@ -64,7 +64,25 @@ def test_hot_key_results_stay_whole(spark):
 
 
 def test_reading_diff_counts_repeats(spark):
-    a = spark.createDataFrame([("x", dec(1)), ("x", dec(1)), ("y", dec(2))], "n string, p decimal(14,2)")
+    a = spark.createDataFrame([("x", dec(1)), ("x", dec(1)), ("x", dec(1)), ("y", dec(2))], "n string, p decimal(14,2)")
     b = spark.createDataFrame([("x", dec(1)), ("z", dec(3))], "n string, p decimal(14,2)")
-    out = sorted((r.n, r.only_in) for r in quality.reading_diff(a, b).collect())
-    assert out == [("x", "first"), ("y", "first"), ("z", "second")]
+    out = sorted((r.n, r.only_in, r.surplus) for r in quality.reading_diff(a, b).collect())
+    assert out == [("x", "first", 2), ("y", "first", 1), ("z", "second", 1)]
+
+
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    """Two deliveries with a restart between give what one batch over both gives; a start without news changes nothing."""
+    import datetime
+    from stairfare.streaming import events as ev
+    rows = [(i, datetime.datetime(2026, 3, 1, i % 24), i % 4, ("view", "error")[i % 3 == 0], 1.0, f'{{"k": {i}}}') for i in range(40)]
+    folder, base = str(tmp_path / "in"), str(tmp_path / "run")
+
+    def run():
+        stream = ev.event_stream(spark, folder, name="*.parquet")
+        return sorted(map(tuple, ev.run_to_latest(ev.retries(stream), "restart", ["unit"], base=base).collect()))
+    spark.createDataFrame(rows[:25], ev.EVENT).write.parquet(folder)
+    first = run()
+    assert run() == first
+    spark.createDataFrame(rows[25:], ev.EVENT).write.mode("append").parquet(folder)
+    whole = ev.retries(ev.parsed(spark.createDataFrame(rows, ev.EVENT)))
+    assert run() == sorted(map(tuple, whole.collect())) != first
