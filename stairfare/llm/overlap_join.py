@@ -375,8 +375,10 @@ def link(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     some = sizes.where((F.col("n") > 0) & (F.col("shared") >= least)).select(F.col("uid").alias("__uid"))
     sets = written(texts.join(some, "__uid", "left_semi").mapInPandas(_sets, SETS), "sets")
 
-    classes = sets.groupBy("n", "f1", "f2").agg(F.min("uid").alias("rep"))
-    member = written(sets.select("uid", "n", "f1", "f2").distinct().join(classes, ["n", "f1", "f2"]).select("uid", "rep"), "classes")
+    # groups are aggregated and written before rows look them up: that join has a plain shuffle on either side, so a hot group is split
+    own = sets.select("uid", "n", "f1", "f2").distinct()
+    classes = written(own.groupBy("n", "f1", "f2").agg(F.min("uid").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies"), "copies")
+    member = written(own.join(classes, ["n", "f1", "f2"], "left").select("uid", F.coalesce("rep", "uid").alias("rep")), "classes")
     firsts = member.where("uid = rep").select("uid")
     reps = sets.join(firsts, "uid", "left_semi").dropDuplicates(["uid"]).select("uid", "n", "hashes")
     reps = written(reps, "representatives")
@@ -384,29 +386,29 @@ def link(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     counted = reps.mapInPandas(_send_sets(buckets), f"bucket int, {PACKED}").groupBy("bucket") \
         .applyInPandas(_count(buckets), "bucket int, hashes binary, counts binary, uids binary, sizes binary")
     postings = written(counted.groupBy("bucket").applyInPandas(_first_places, POSTINGS), "postings")
-    long_lists = postings.groupBy("h").agg(F.ceil(F.count("*") / LIST_AT_ONCE).cast("int").alias("parts")).where("parts > 1")
+    long_lists = written(postings.groupBy("h").agg(F.ceil(F.count("*") / LIST_AT_ONCE).cast("int").alias("parts")).where("parts > 1"), "long-lists")
     dealt = postings.join(long_lists, "h", "left").withColumn("parts", F.coalesce("parts", F.lit(1))) \
         .withColumn("block", F.pmod(F.xxhash64("uid", F.lit(7)), F.col("parts")).cast("int")) \
         .withColumn("ij", F.explode(_grid(F.col("parts"), F.col("block"), "i", "j"))) \
         .select("h", "ij.i", "ij.j", "uid", "n", "place", "map")
     candidates = dealt.repartition(buckets, "h", "i", "j").sortWithinPartitions("h", "i", "j", "uid").mapInPandas(_forests, "a long, b long").distinct()
-    near = components(candidates)
+    near = written(components(candidates), "near")
 
-    size = near.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    blocks = near.join(size, "root").withColumn("block", F.pmod(F.xxhash64("node", F.lit(11)), F.col("parts")).cast("int")) \
+    size = written(near.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).where("parts > 1"), "large-groups")
+    blocks = near.join(size, "root", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("node", F.lit(11)), F.col("parts")).cast("int")) \
         .withColumn("ij", F.explode(_grid(F.col("parts"), F.col("block"), "i", "j"))) \
         .select(F.col("node").alias("uid"), "root", "ij.i", "ij.j")
     links = blocks.join(reps.select("uid", "hashes"), "uid").groupBy("root", "i", "j").applyInPandas(_search, "a long, b long")
     found = components(links)
 
     group = member.join(found, member["rep"] == found["node"], "left").select("uid", F.coalesce("root", "rep").alias("root"))
-    named = base.select("__key", "__mark", "__uid").join(group, F.col("__uid") == F.col("uid"), "left").drop("uid") \
+    named = written(base.select("__key", "__mark", "__uid").join(group, F.col("__uid") == F.col("uid"), "left").drop("uid") \
         .join(sizes.select("uid", "n"), F.col("__uid") == F.col("uid"), "left").drop("uid") \
-        .withColumn("root", F.coalesce("root", "__uid"))  # else all unlinked rows would meet in one task
-    lowest = named.groupBy("root").agg(F.min("__key").alias("lowest"))
+        .withColumn("root", F.coalesce("root", "__uid")), "named")  # else all unlinked rows would meet in one task
+    lowest = written(named.groupBy("root").agg(F.min("__key").alias("lowest"), F.count("*").alias("members")).where("members > 1").drop("members"), "lowest")
     return named.join(lowest, "root", "left").select(
         F.col("__key").alias(key), F.coalesce("n", F.lit(0)).alias("n_shingles"),
-        F.col("lowest").alias("component_key"), "__mark")
+        F.coalesce("lowest", "__key").alias("component_key"), "__mark")
 
 
 def keep_one(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
