@@ -10,6 +10,10 @@ the positions of its smallest ``SEED``-byte hash depend on its bytes alone, so e
 3. Runs meet by seed range and are merged by a loser tree that knows how far each waiting suffix agrees with
    the last one out, and compares bytes beyond that only.  Suffixes that agree on the seed are a group.
 4. Within a group, the strings of ``LENGTH`` bytes around the anchor are compared at each offset.
+
+A seed that occurs more than ``LARGE`` times is no group of one task.  The strings around its anchors are hashed
+where their texts are, counted there, and meet by hash range: one that occurs twice in a task is settled there
+and sent once without its places, so that none is sent oftener than there are passes.
 """
 
 import hashlib
@@ -19,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.tables import scratch
-from .hashing import laid_out, running, stretches
+from .hashing import laid_out, mixed, running, stretches
 from .records import KEY, TEXT, keyed, restored
 
 LENGTH, SEED = 200, 100
@@ -28,6 +32,8 @@ OFFSETS = LENGTH - SEED + 1
 PASS_BYTES = 4_000_000
 #: Suffixes whose strings are compared in one numpy pass.
 COMPARED_AT_ONCE = 8_000
+#: Places of a seed beyond which its strings meet by their own hashes.
+LARGE = 4_000
 
 
 def _slid(x: np.ndarray, n: int, better) -> np.ndarray:
@@ -102,11 +108,13 @@ def _by_text(uid, groups, *arrays):
     return [(int(g[lo]), *(x[lo:hi].tobytes() for x in packed)) for lo, hi in zip(cuts[:-1], cuts[1:])]
 
 
-def _seen_twice(groups):
+def _seen_twice(groups, large=LARGE):
+    """Places of seeds that occur twice; those of large seeds as ``-1 - place``."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         h, uid, place = _joined(pdf, "a", "<u8"), _joined(pdf, "uids", "<i8"), _joined(pdf, "places", "<i4")
         _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
         some = count[inverse] > 1
+        place = np.where(count[inverse] > large, -1 - place, place).astype("<i4")
         return pd.DataFrame(_by_text(uid[some], groups, place[some]), columns=["bucket", "uids", "places"])
     return run
 
@@ -207,7 +215,11 @@ class LoserTree:
             self.winner = r
 
 
-RUN = "bucket int, lcp binary, tails binary, lengths binary, left_lengths binary, lefts binary, many binary, uids binary, places binary"
+#: What a row holds: a run of suffixes, hashes of strings around large seeds, or stretches already settled.
+SUFFIXES, HASHES, SETTLED = range(3)
+RUN = ("kind int, bucket int, lcp binary, tails binary, lengths binary, left_lengths binary, lefts binary, many binary, uids binary, places binary, "
+       "hashes binary, starts binary, ends binary")
+RUN_COLUMNS = [c.split()[0] for c in RUN.split(", ")]
 
 
 def _send_runs(buckets):
@@ -217,31 +229,39 @@ def _send_runs(buckets):
         lcp, tails, lengths = front_coded([s for s, _, _ in entries])
         lefts = [x for _, x, _ in entries]
         where = [w for _, _, ws in entries for w in ws]
-        return (bucket, lcp.tobytes(), tails, lengths.tobytes(), np.array([len(x) for x in lefts], "<u2").tobytes(), b"".join(lefts),
+        return (SUFFIXES, bucket, lcp.tobytes(), tails, lengths.tobytes(), np.array([len(x) for x in lefts], "<u2").tobytes(), b"".join(lefts),
                 np.array([len(ws) for _, _, ws in entries], "<u4").tobytes(),
-                np.array([u for u, _ in where], "<i8").tobytes(), np.array([p for _, p in where], "<i4").tobytes())
+                np.array([u for u, _ in where], "<i8").tobytes(), np.array([p for _, p in where], "<i4").tobytes(), None, None, None)
+
+    def frame(held, large):
+        rows = [packed(b, [(s, x, w) for (s, x), w in e.items()]) for b, e in held.items()]
+        return pd.DataFrame(rows + _by_string(buckets, large), columns=RUN_COLUMNS)
 
     def run(batches):
         held: dict[int, dict[tuple[bytes, bytes], list]] = {}
+        large: dict[tuple[bytes, bytes], list] = {}
         size = 0
         for pdf in batches:
             for uid, text, places in zip(pdf["__uid"].tolist(), pdf["__text"], pdf["places"]):
                 data = text.encode("utf-8", "surrogatepass")
-                ps = np.frombuffer(places, "<i4").tolist()
-                for p in ps:
-                    suffix, left = data[p:p + LENGTH], data[max(p - OFFSETS + 1, 0):p]
-                    b = int.from_bytes(hashlib.blake2b(suffix[:SEED], digest_size=8).digest(), "little") % buckets
-                    held.setdefault(b, {}).setdefault((suffix, left), []).append((uid, p))
-                size += len(ps)
-                if size > 60_000:
-                    yield pd.DataFrame([packed(b, [(s, x, w) for (s, x), w in e.items()]) for b, e in held.items()], columns=[c.split()[0] for c in RUN.split(", ")])
-                    held, size = {}, 0
-        yield pd.DataFrame([packed(b, [(s, x, w) for (s, x), w in e.items()]) for b, e in held.items()], columns=[c.split()[0] for c in RUN.split(", ")])
+                for q in np.frombuffer(places, "<i4").tolist():
+                    p = q if q >= 0 else -1 - q
+                    around = data[p:p + LENGTH], data[max(p - OFFSETS + 1, 0):p]
+                    if q < 0:
+                        large.setdefault(around, []).append((uid, p))
+                    else:
+                        b = int.from_bytes(hashlib.blake2b(around[0][:SEED], digest_size=8).digest(), "little") % buckets
+                        held.setdefault(b, {}).setdefault(around, []).append((uid, p))
+                    size += 1
+                    if size > 60_000 or len(large) >= COMPARED_AT_ONCE:
+                        yield frame(held, large)
+                        held, large, size = {}, {}, 0
+        yield frame(held, large)
     return run
 
 
-def _repeated_offsets(suffixes: list[bytes], lefts: list[bytes], group: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """For each suffix and offset, whether the string that starts so many bytes before it occurs twice."""
+def _strings(suffixes: list[bytes], lefts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix and offset, the hash of the string that starts so many bytes before it, and whether there is one."""
     n, reach = len(suffixes), OFFSETS - 1
     data = np.frombuffer(b"".join(x.rjust(reach, b"\0") + s.ljust(LENGTH, b"\0") for x, s in zip(lefts, suffixes)), np.uint8).reshape(n, reach + LENGTH)
     sums = running(data.reshape(-1))
@@ -249,7 +269,58 @@ def _repeated_offsets(suffixes: list[bytes], lefts: list[bytes], group: np.ndarr
     offset = np.arange(OFFSETS)[None, :]
     start = base + reach - offset
     fits = (np.array([len(x) for x in lefts])[:, None] >= offset) & (np.array([len(s) for s in suffixes])[:, None] >= LENGTH - offset)
-    h = stretches(sums, start.reshape(-1), start.reshape(-1) + LENGTH).reshape(n, OFFSETS)
+    return stretches(sums, start.reshape(-1), start.reshape(-1) + LENGTH).reshape(n, OFFSETS), fits
+
+
+def _stretches_hit(hit: np.ndarray):
+    """``(row, first offset, offset behind the last)`` of each run of hits."""
+    edge = np.diff(np.pad(hit.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, first = np.nonzero(edge == 1)
+    _, last = np.nonzero(edge == -1)
+    return zip(row.tolist(), first.tolist(), last.tolist())
+
+
+def _by_string(buckets: int, large: dict[tuple[bytes, bytes], list]) -> list[tuple]:
+    """Rows for the strings around anchors of large seeds: those met twice here settled, each hash once by its range.
+
+    A hash met twice here has no place, for it needs no answer.  The offset is part of the hash, since
+    two anchors of one text can lie in the same string.
+    """
+    if not large:
+        return []
+    where = list(large.values())
+    h, fits = _strings([s for s, _ in large], [x for _, x in large])
+    row, offset = np.nonzero(fits)
+    value = mixed(h[fits] + offset.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    many = np.array([len(w) for w in where])
+    value, one, inverse = np.unique(value, return_index=True, return_inverse=True)
+    twice = np.bincount(inverse, weights=many[row]) > 1
+    hit = np.zeros(fits.shape, bool)
+    hit[fits] = twice[inverse]
+    spans = [(u, p - (b - 1), p - a + LENGTH) for k, a, b in _stretches_hit(hit) for u, p in where[k]]
+    uid, start, end = np.array(spans, np.int64).reshape(-1, 3).T
+    none = (None,) * 6
+    out = [(SETTLED, b, *none, u, None, None, s, e) for b, u, s, e in _by_text(uid, buckets, start, end)]
+    first = np.array([w[0] for w in where], np.int64)
+    owner = np.where(twice, 0, first[row[one], 0]).astype("<i8")
+    place = np.where(twice, -1, first[row[one], 1] - offset[one]).astype("<i4")
+    cuts = np.searchsorted(_ranges(value, buckets), np.arange(buckets + 1))
+    return out + [(HASHES, b, *none, owner[x:y].tobytes(), place[x:y].tobytes(), value[x:y].tobytes(), None, None)
+                  for b, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x]
+
+
+def _met_twice(pdf: pd.DataFrame, groups: int) -> list[tuple]:
+    """Strings around large seeds that were met in two passes, or twice in one, by text."""
+    h, uid, place = _joined(pdf, "hashes", "<u8"), _joined(pdf, "uids", "<i8"), _joined(pdf, "places", "<i4").astype("<i8")
+    _, inverse = np.unique(h, return_inverse=True)
+    some = (np.bincount(inverse, weights=np.where(place < 0, 2, 1))[inverse] > 1) & (place >= 0)
+    return _by_text(uid[some], groups, place[some], place[some] + LENGTH)
+
+
+def _repeated_offsets(suffixes: list[bytes], lefts: list[bytes], group: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """For each suffix and offset, whether the string that starts so many bytes before it occurs twice."""
+    h, fits = _strings(suffixes, lefts)
+    n, offset = len(suffixes), np.arange(OFFSETS)[None, :]
     slot = (group[:, None] * OFFSETS + offset)[fits]
     value = h[fits]
     order = np.lexsort((value, slot))
@@ -266,6 +337,10 @@ def _repeated_offsets(suffixes: list[bytes], lefts: list[bytes], group: np.ndarr
 
 def _covered(groups):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        kind = pdf["kind"].iloc[0]
+        if kind != SUFFIXES:
+            rows = _met_twice(pdf, groups) if kind == HASHES else list(zip(*[pdf[c] for c in ("bucket", "uids", "starts", "ends")]))
+            return pd.DataFrame(rows, columns=["bucket", "uids", "starts", "ends"])
         runs = [tuple(np.frombuffer(x, "<u2") if k != 1 else x for k, x in enumerate(r)) for r in zip(pdf["lcp"], pdf["tails"], pdf["lengths"])]
         side = []
         for lengths, lefts, many, uids, places in zip(pdf["left_lengths"], pdf["lefts"], pdf["many"], pdf["uids"], pdf["places"]):
@@ -282,10 +357,7 @@ def _covered(groups):
             group = np.array([g for _, _, g, _, _ in held])
             many = np.array([side[r][2][i] for _, _, _, r, i in held])
             hit = _repeated_offsets([s for s, _, _, _, _ in held], [x for _, x, _, _, _ in held], group, many)
-            edge = np.diff(np.pad(hit.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-            row, first = np.nonzero(edge == 1)
-            _, last = np.nonzero(edge == -1)
-            for k, a, b in zip(row.tolist(), first.tolist(), last.tolist()):
+            for k, a, b in _stretches_hit(hit):
                 _, _, _, r, i = held[k]
                 _, _, _, bounds, uids, places = side[r]
                 u, p = uids[bounds[i]:bounds[i + 1]], places[bounds[i]:bounds[i + 1]].astype(np.int64)
@@ -364,7 +436,7 @@ def remove_repeats(packages: DataFrame, key: str = KEY, text: str = TEXT) -> Dat
         .groupBy("bucket").applyInPandas(_places, "uid long, places binary")
     places = written(places, "anchors")
     runs = texts.join(places, F.col("__uid") == F.col("uid")).select("__uid", "__text", "places").mapInPandas(_send_runs(buckets), RUN)
-    spans = runs.groupBy("bucket").applyInPandas(_covered(buckets), "bucket int, uids binary, starts binary, ends binary") \
+    spans = runs.groupBy("kind", "bucket").applyInPandas(_covered(buckets), "bucket int, uids binary, starts binary, ends binary") \
         .groupBy("bucket").applyInPandas(_spans, "uid long, starts binary, ends binary")
     spans = written(spans, "repeats")
     out = base.join(spans, F.col("__uid") == F.col("uid"), "left").select("__key", "__text", "starts", "ends") \

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -179,6 +180,39 @@ def test_repeats_equal_brute_force(spark):
     assert repeats.remove_repeats(table(spark, [])).count() == 0
 
 
+def test_repeats_of_a_large_seed_meet_in_no_one_task(monkeypatch):
+    rng = np.random.default_rng(4)
+    word = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    passage = word(260)
+    texts = [word(130) + passage + word(130) for _ in range(4_500)] + [word(90) + passage + "." for _ in range(2)] + [passage * 2] * 2
+    widest, held, buckets = [0], repeats._repeated_offsets, 4
+    monkeypatch.setattr(repeats, "_repeated_offsets", lambda s, *a: widest.append(len(s)) or held(s, *a))
+
+    def grouped(pdfs, keys, run):
+        return pd.concat([run(part) for _, part in pd.concat(pdfs).groupby(keys)])
+
+    df = pd.DataFrame({"__uid": range(len(texts)), "__text": texts})
+    parts = [df.iloc[lo:lo + 700] for lo in range(0, len(df), 700)]
+    seeds = grouped(repeats._send_seeds(buckets)(parts), "bucket", repeats._seen_twice(buckets))
+    places = grouped([seeds], "bucket", repeats._places)
+    rows = list(repeats._send_runs(buckets)([part.merge(places, left_on="__uid", right_on="uid") for part in parts]))
+    keys = [c for c in ("kind", "bucket") if c in rows[0]]
+    spans = grouped([grouped(rows, keys, repeats._covered(buckets))], "bucket", repeats._spans)
+    got = {u: list(zip(np.frombuffer(s, "<i8").tolist(), np.frombuffer(e, "<i8").tolist())) for u, s, e in spans.itertuples(index=False)}
+
+    counts = Counter(t[i:i + repeats.LENGTH] for t in texts for i in range(len(t) - repeats.LENGTH + 1))
+    for u, t in enumerate(texts):
+        want = []
+        for i in range(len(t) - repeats.LENGTH + 1):
+            if counts[t[i:i + repeats.LENGTH]] > 1:
+                if want and i <= want[-1][1]:
+                    want[-1] = want[-1][0], i + repeats.LENGTH
+                else:
+                    want.append((i, i + repeats.LENGTH))
+        assert got.get(u, []) == want
+    assert max(widest) < 4_500
+
+
 def test_loser_tree_merges_and_knows_shared_lengths():
     rng = np.random.default_rng(3)
     runs = [sorted("".join(rng.choice(list("ab"), int(rng.integers(1, 9)))).encode() for _ in range(int(n))) for n in rng.integers(0, 30, 7)]
