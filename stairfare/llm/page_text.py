@@ -126,19 +126,22 @@ def _path_vector(path: tuple[str, ...]) -> np.ndarray:
     return got
 
 
+def _slot(word: str) -> int:
+    got = _WORD_SLOTS.get(word)
+    if got is None:
+        if len(_WORD_SLOTS) > 300_000:
+            _WORD_SLOTS.clear()
+        got = _WORD_SLOTS[word] = zlib.crc32(word.lower().encode()) % WORD_DIM
+    return got
+
+
 def vectors(page: list[tuple[tuple[str, ...], str, float]]) -> np.ndarray:
     """One row per block: path words, words of the text, figures."""
     x = np.zeros((len(page), PATH_DIM + WORD_DIM + FIGURES), np.float32)
     for i, (path, text, links) in enumerate(page):
         x[i, :PATH_DIM] = _path_vector(path)
-        words = text.split(" ", 24)[:24]  # a sample of the words describes the block; the block itself stays whole
-        for w in words:
-            slot = _WORD_SLOTS.get(w)
-            if slot is None:
-                if len(_WORD_SLOTS) > 300_000:
-                    _WORD_SLOTS.clear()
-                slot = _WORD_SLOTS[w] = PATH_DIM + zlib.crc32(w.lower().encode()) % WORD_DIM
-            x[i, slot] += 1 / len(words)
+        words = text.split(" ")
+        x[i, PATH_DIM:PATH_DIM + WORD_DIM] = np.bincount([_slot(w) for w in words], minlength=WORD_DIM) / len(words)
         x[i, -FIGURES:] = (min(len(text) / 300, 3), links, min(len(words) / 24, 1), text[-1:] in ".!?…", i / max(len(page), 1), 1)
     return x
 

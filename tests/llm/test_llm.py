@@ -241,6 +241,13 @@ def test_page_text(spark):
     assert got[3].split("\n")[0] == "Lounge & bags" and got[3].endswith("Tea and cake.") and "Home" not in got[3] and got[98] == got[99] == ""
 
 
+def test_block_vector_reads_every_word():
+    opening = " ".join(["The lounge is open"] * 6)
+    one, other = (page_text.vectors([(("html", "body"), f"{opening} {rest}", 0.0)])[0] for rest in ("to all guests now", "buy one get two"))
+    words = slice(page_text.PATH_DIM, page_text.PATH_DIM + page_text.WORD_DIM)
+    assert not np.allclose(one[words], other[words]) and np.isclose(one[words].sum(), 1)
+
+
 def test_toxicity(spark):
     calm = [(i, f"Seat number {i} by the window with a meal and tea") for i in range(120)]
     rude = [(1000 + i, f"Seat number {i} you stupid worthless moron by the window") for i in range(120)]
