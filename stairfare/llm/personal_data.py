@@ -19,10 +19,12 @@ BASE = {
     "phone": (r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]"),
 }
 ADDED = {
-    "iban": (r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    # takes the start only, so that none is passed over; the group behind it is all that may belong to the number, and a character to tell its border
+    "iban": (r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,4})?))"),
     "id_number": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
 }
 KINDS = [*BASE, *ADDED]
+ACCOUNT = r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?$"
 
 #: Score before context, and words within ``NEAR`` characters that raise it by ``LIFT``.
 SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.8, "id_number": 0.3}
@@ -63,6 +65,17 @@ def _mod97(match: Column) -> Column:
     return F.length(plain).between(15, 34) & (F.aggregate(F.split(moved, "(?<=.)(?=.)"), F.lit(0), step) == 1)
 
 
+def _account_length(run: Column) -> Column:
+    """Characters of the longest part of ``run`` that ends at a border and passes the check; 0 if there is none.
+
+    A word behind the number looks like a group of it, so the run alone does not tell where it ends.
+    """
+    def passes(n):
+        head = F.substring(run, F.lit(1), n)
+        return head.rlike(ACCOUNT) & ~F.substring(run, n + 1, F.lit(1)).rlike("[A-Za-z0-9]") & _mod97(head)
+    return F.coalesce(F.get(F.filter(F.sequence(F.greatest(F.length(run), F.lit(15)), F.lit(15), F.lit(-1)), passes), 0), F.lit(0))
+
+
 def _confirmed(kind: str, match: Column) -> Column:
     if kind == "ip":
         return F.forall(F.split(match, r"\."), lambda p: p.rlike(r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
@@ -70,8 +83,6 @@ def _confirmed(kind: str, match: Column) -> Column:
         return _luhn(match)
     if kind == "phone":
         return F.length(_digits(match)).between(9, 15)
-    if kind == "iban":
-        return _mod97(match)
     return F.lit(True)
 
 
@@ -84,16 +95,22 @@ def _spans(kind: str, text: Column) -> Column:
     The pieces between matches and the matches alternate, so running lengths give the bounds.
     """
     test, pattern = (BASE | ADDED)[kind]
+    own = kind == "iban"
     hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
 
     def step(state, x):
         start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
+        at = start + F.length(x["hit"])
+        end = start + _account_length(F.concat(x["hit"], x["tail"])) if own else at
+        fresh = (end > start) & (start >= state["upto"]) if own else _confirmed(kind, x["hit"])
         span = F.struct(start.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(_confirmed(kind, x["hit"]), F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+        return F.struct(at.alias("at"), F.when(fresh, end).otherwise(state["upto"]).alias("upto"),
+                        F.when(fresh, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
     pairs = F.zip_with(hits, F.slice(gaps, F.lit(1), F.size(hits)), lambda h, g: F.struct(g.alias("gap"), h.alias("hit")))
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
+    if own:
+        pairs = F.zip_with(pairs, F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda x, t: F.struct(x["gap"].alias("gap"), x["hit"].alias("hit"), t.alias("tail")))
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("upto"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
     found = F.aggregate(pairs, state, step, lambda s: s["out"])
 
     def scored(s):

@@ -72,6 +72,17 @@ def test_personal_data(spark):
     assert masked[1].startswith("ask [EMAIL] or [PHONE], card [CARD], host [IP] not 10.0.0.256") and masked[2] is None and masked[3] == "a" * 50_000
 
 
+def test_account_numbers_end_before_the_next_word(spark):
+    be, es, de = "BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"
+    notes = [f"IBAN {be} BIC GKCCBEBB", f"iban {es} EUR 20", f"iban {es} {be} {de}", f"iban BE12 {be}.", f"iban {be}, {de}x", f"iban {de} BIC", "iban " + "AB12 " * 4_000]
+    want = [[be], [es], [es, be, de], [be], [be], [de], []]
+    df = table(spark, list(enumerate(notes)))
+    got = {r.package_key: [notes[r.package_key][s.start:s.end] for s in r.spans if s.kind == "iban"] for r in personal_data.find(df).collect()}
+    assert [got[i] for i in range(len(notes) - 1)] == want[:-1]
+    masked = {r.package_key: r.description for r in personal_data.masked(df).collect()}
+    assert masked[0] == "IBAN [IBAN] BIC GKCCBEBB" and masked[2] == "iban [IBAN] [IBAN] [IBAN]"
+
+
 def test_quality_votes(spark):
     good = [(i, " ".join(f"Word{j * (i + 3) % 97} is fine." for j in range(60))) for i in range(30)]
     bad = [(100 + i, " ".join(f"###{j * (i + 5) % 89}$$$ |" for j in range(60))) for i in range(5)]
