@@ -4,7 +4,7 @@ Sources are file streams, sinks are files with a checkpoint, so a restarted quer
 where it stopped.  State is kept by built-in aggregates.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.names import literal_map
@@ -91,10 +91,26 @@ def throughput(events: DataFrame, width="10 minutes", slide="1 minute") -> DataF
                 (F.col("finished") / 10.0).alias("per_minute"))
 
 
-def eta_minutes(rate: DataFrame, total: int) -> DataFrame:
-    """Remaining units over the window's rate."""
-    left = F.greatest(F.lit(total) - F.col("finished"), F.lit(0))
-    return rate.withColumn("eta_minutes", F.floor(left / F.col("per_minute") + 0.5).cast("bigint"))
+def first_finishes(events: DataFrame) -> DataFrame:
+    """When each unit finished first; finished again it is no further progress."""
+    return events.where("event = 'end'").groupBy("unit").agg(F.min("ts").alias("ts"))
+
+
+def eta_minutes(rate: DataFrame, finishes: DataFrame, total: DataFrame) -> DataFrame:
+    """Units of the plan not finished by the window's end over the window's rate.
+
+    ``total`` is one row with the plan's size.  Finishes are counted per minute and summed within each
+    day, days on top, so that no task sorts the whole log.
+    """
+    minute = finishes.groupBy((F.date_trunc("minute", "ts") + F.expr("interval 1 minute")).alias("end")).agg(F.count("*").alias("n"))
+    marks = minute.unionByName(rate.select("end", F.lit(0).cast("bigint").alias("n"))).groupBy("end").agg(F.sum("n").alias("n")) \
+        .withColumn("day", F.to_date("end"))
+    days = marks.groupBy("day").agg(F.sum("n").alias("n"))
+    before = days.select("day", (F.sum("n").over(Window.orderBy("day")) - F.col("n")).alias("before"))
+    done = marks.join(before, "day").select("end", (F.sum("n").over(Window.partitionBy("day").orderBy("end")) + F.col("before")).alias("done"))
+    left = F.greatest(F.col("total") - F.col("done"), F.lit(0))
+    return rate.join(done, "end").crossJoin(F.broadcast(total.select(F.col(total.columns[0]).alias("total")))) \
+        .withColumn("eta_minutes", F.floor(left / F.col("per_minute") + 0.5).cast("bigint"))
 
 
 def of_run(events: DataFrame) -> DataFrame:
