@@ -262,15 +262,18 @@ def s19_airline_json(spark, sf):
 
 @query
 def s20_search_page_json(spark, sf):
-    """Search-page payload per itinerary: boxes, absolute prices, rule lines."""
+    """Search-page payload per itinerary and searched cabin: boxes, absolute prices, rule lines.
+
+    A box without a price text costs the base fare.
+    """
     lis = bridge.rule_lines(spark, sf).select(*FL, "raw_brand_name", "line").distinct().groupBy(*FL, "raw_brand_name").agg(
         F.sort_array(F.collect_list("line")).alias("lis"))
-    cards = bridge.cards(spark, sf).where("price_value is not null").join(lis, FL + ["raw_brand_name"])
+    cards = bridge.cards(spark, sf).join(lis, FL + ["raw_brand_name"])
     box = F.struct(F.col("raw_brand_name").alias("name"), F.col("fare_family_code").alias("ffcode"), F.col("group_cabin").alias("cabin"),
-                   F.concat(F.lit("+ "), F.col("price_value").cast("string"), F.lit(" USD")).alias("priceText"), "lis")
+                   F.coalesce(F.concat(F.lit("+ "), F.col("price_value").cast("string"), F.lit(" USD")), F.lit("")).alias("priceText"), "lis")
     fl = cards.groupBy(*FL, "carrier").agg(F.sort_array(F.collect_list(F.struct("screen_order", box.alias("b")))).alias("bs"))
     body = F.to_json(F.struct("carrier", F.lit("319 .08 USD").alias("baseText"), F.transform("bs", lambda x: x.b).alias("brands")))
-    df = payloads.search_boxes(fl.select(*FL, body.alias("body")), F.lit("Economy"))
+    df = payloads.search_boxes(fl.select(*FL, body.alias("body")), F.col("group_cabin"))
     kept = df.where(F.col("tabled") | ~identity.contradicts_itself(F.col("raw_brand_name"), F.col("box_cabin"), F.col("requested")))
     r = kept.select("row_carrier", "raw_brand_name", "currency", "price_value", F.explode("lines").alias("line"))
     r = r.groupBy("row_carrier", "raw_brand_name", "currency", "line").agg(F.count("*").alias("n"), F.sum("price_value").cast("double").alias("total"))
