@@ -17,8 +17,8 @@ from .records import KEY, TEXT, keyed, restored
 
 ROWS, DIM, SPAN = 1 << 16, 12, 6
 NGRAMS = (3, 4, 5, 6)
-#: Labelled texts the model is fitted on, at most, chosen by hash; of each the words of so many stretches.
-FIT_TEXTS, FIT_SPANS = 4_000, 400
+#: Labelled texts the model is fitted on, at most, chosen by hash; each is read whole.
+FIT_TEXTS = 4_000
 EPOCHS, RATE, SEED = 12, 0.5, 11
 _WORD = re.compile(r"[^\W\d_]+")
 _KNOWN: dict[str, np.ndarray] = {}
@@ -56,7 +56,7 @@ def fit(texts: list[str], labels: np.ndarray) -> dict[str, np.ndarray]:
     table = (rng.standard_normal((ROWS, DIM)) * 0.1).astype(np.float32)
     weight, bias = (rng.standard_normal(DIM) * 0.1).astype(np.float32), np.float32(-1.0)
     number: dict[str, int] = {}
-    docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)[:FIT_SPANS * SPAN]], np.int64) for t in texts]
+    docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int64) for t in texts]
     own = [grams(w) for w in number]
     sizes = np.array([len(g) for g in own], np.int64)
     firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if own else np.empty(0, np.int64)

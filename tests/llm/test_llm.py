@@ -270,6 +270,14 @@ def test_toxicity(spark):
     assert all(r.held_out == (zlib.crc32(str(k).encode()) % 5 == 0) for k, r in got.items())
 
 
+def test_fitting_reads_long_texts_to_the_end():
+    calm = [f"seat {w} by the window with a meal and tea " * 300 for w in ("one", "two", "three", "four") * 10]
+    short = [f"seat {w} you stupid worthless moron" for w in ("one", "two", "three", "four") * 10]
+    late = [t + "you stupid worthless moron" for t in calm]
+    model = toxicity.fit(calm + short + late, np.repeat([0, 1, 1], len(calm)))
+    assert toxicity.score_text(late[0], model) > 0.9 and toxicity.score_text(calm[0], model) < 0.1
+
+
 def test_pipeline_stages_keep_columns(spark, tmp_path):
     import corpus_pipeline
     docs = spark.createDataFrame([(i, " ".join(f"Word{j * (i + 3) % 97} is fine." for j in range(60)), "en", "s", 5) for i in range(6)] + [(9, None, None, None, None)],
