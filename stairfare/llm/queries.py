@@ -4,7 +4,8 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import contamination, dialogues, overlap_join, packing, page_text, personal_data, quality_votes, repeats, token_files, toxicity
+from . import (contamination, dialogues, likeness, overlap_join, packing, page_text, personal_data, phrases, piece_ids, quality_votes, repeats, token_files,
+               toxicity)
 from .records import KEY, TEXT
 
 QUERIES = {}
@@ -105,3 +106,25 @@ def op9_toxicity(spark, sf_dir):
 def op10_quality_votes(spark, sf_dir):
     judged = quality_votes.judge(_documents(spark, sf_dir))
     return judged.select(F.col(KEY).alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op11_phrases(spark, sf_dir):
+    """The carriers of the descriptions are the languages here."""
+    texts = _table(spark, sf_dir, "documents").select(F.col("text").alias(TEXT), F.col("lang").alias("carrier"))
+    return phrases.collocations(texts).withColumnRenamed("carrier", "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query
+def op12_piece_ids(spark, sf_dir):
+    encoded = piece_ids.encode(_documents(spark, sf_dir), _vocabulary("piece_bpe_32k.model"))
+    return encoded.select(F.col(KEY).alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_draw_like(spark, sf_dir):
+    """The wanted texts are the benchmark's."""
+    wanted = _table(spark, sf_dir, "benchmark").select(F.col("text").alias(TEXT))
+    drawn = likeness.draw_like(_documents(spark, sf_dir), wanted)
+    return drawn.select(F.col(KEY).alias("doc_id"), "n_features", "weight", "score", "rank")

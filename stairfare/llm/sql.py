@@ -16,3 +16,41 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_h
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.ws) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
+
+SQL["op11_phrases"] = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n-\r]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM pieces),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
+f AS (SELECT lang, k, array_to_string(ws[s : s + k - 1], ' ') AS phrase, count(*) AS f
+      FROM p, unnest(range(1, 6)) AS u(k), unnest(range(1, len(ws) - k + 2)) AS v(s) WHERE len(ws) >= k GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT c.lang, c.phrase, c.a, x AS cut, array_to_string(w[1 : x], ' ') AS lp, array_to_string(w[x + 1 : k], ' ') AS rp FROM c, unnest(range(1, k)) AS u(x)),
+sc AS (SELECT cuts.lang, cuts.phrase, a, cut, fl.f AS l, fr.f AS r, n, ((1000::HUGEINT * a * n) // (fl.f::HUGEINT * fr.f))::BIGINT AS score
+       FROM cuts JOIN f fl ON fl.lang = cuts.lang AND fl.phrase = lp JOIN f fr ON fr.lang = cuts.lang AND fr.phrase = rp JOIN total ON total.lang = cuts.lang),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM sc),
+inside AS (SELECT DISTINCT lang, f AS a, array_to_string(string_split(phrase, ' ')[s : s + j - 1], ' ') AS phrase
+           FROM f, unnest(range(2, 5)) AS u(j), unnest(range(1, k - j + 2)) AS v(s) WHERE j < k),
+whole AS (SELECT lang, phrase, a, l, r, n, score FROM least WHERE nth = 1
+          AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = least.lang AND i.phrase = least.phrase AND 100 * i.a >= 100 * least.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM whole)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+SQL["op13_draw_like"] = r"""
+WITH RECURSIVE bits AS (SELECT i, i AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+tab AS (SELECT list(c ORDER BY i) AS crc FROM bits WHERE step = 8),
+w AS (SELECT 'd' AS kind, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL SELECT 'b', NULL, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+per AS (SELECT kind, doc_id, word, count(*) AS n FROM w GROUP BY ALL),
+vocabulary AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, octet_length(encode(word)) * 2, 2), lambda p: ('0x' || substr(hex(encode(word)), p, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT word FROM per), tab),
+bk AS (SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0) AS s, coalesce(sum(n) FILTER (kind = 'b'), 0) AS t FROM per JOIN vocabulary USING (word) GROUP BY bucket),
+tot AS (SELECT sum(s) AS ss, sum(t) AS tt FROM bk),
+g AS (SELECT bucket, floor(1000 * ln(((t + 1) * (ss + 10000))::DOUBLE / ((s + 1) * (tt + 10000))::DOUBLE))::BIGINT AS gain FROM bk, tot),
+m AS (SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight FROM per JOIN vocabulary USING (word) JOIN g USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+h AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, ('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT AS h FROM documents LEFT JOIN m USING (doc_id)),
+sc AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296::DOUBLE)))::BIGINT AS score FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS nth, count(*) FILTER (n_features >= 20) OVER () AS fit FROM sc)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND nth <= 10 * fit // 100 THEN nth END AS rank FROM r
+"""
