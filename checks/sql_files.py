@@ -48,12 +48,20 @@ usd = "CAST(round(CAST(100 + price_value AS DECIMAL(14,2)) * CAST('0.0243' AS DE
 SQL["s18_marketplace_json"] = b(f"""SELECT carrier AS marketing, raw_brand_name, CASE WHEN rk IS NOT NULL THEN 'right' ELSE 'description' END AS kind, rk AS right_key, CASE WHEN rk IS NOT NULL THEN CASE WHEN st='Not Included' THEN 'Not Included'
    WHEN {c.status_of(txt)}='Paid' OR contains(lower({txt}), 'kesintili') THEN 'Paid' WHEN {c.status_of(txt)}='Not Included' THEN 'Not Included' ELSE 'Included' END END AS status, count(*) AS n,
    CAST(sum({usd}) AS DOUBLE) AS total, max({det}) AS last_value FROM market_items GROUP BY ALL""")
+C["market_bodies"] = f"""SELECT {FL}, origin, destination, block_no, date_pos, count(*) AS packages, '{{"flights":{{"departure":[{{"price":{{"total":100.0}},"segments":[{{"marketing_airline":"' || any_value(carrier) || '"}}],"provider_packages":['
+   || string_agg('{{"raw_name":"' || raw_brand_name || '"' || coalesce(',"total_price":' || CAST(price_value AS DOUBLE), '') || ',"currency":"TRY"' || coalesce(',"automation_key":"' || fare_family_code || '"', '') || ',"items":[' || items || ']}}', ',' ORDER BY screen_order)
+   || ']}}]}},"currency_rates":{{"TRY":{{"Rates":{{"USD":0.0243}}}}}}}}' AS body
+  FROM cards JOIN (SELECT {FL}, raw_brand_name, string_agg('{{"name":"' || right_key || '","description":"' || raw_value || '","attributes":{{"is_available":' || (status <> 'Not Included') || ',"piece":2'
+     || CASE WHEN status='Paid' THEN ',"allowance":"23","tooltip":{{"text":"Kesintili"}}}}}}' ELSE ',"tooltip":{{}}}}}}' END, ',' ORDER BY right_key) AS items FROM best_rights GROUP BY ALL) USING ({FL}, raw_brand_name)
+  GROUP BY {FL}, origin, destination, block_no, date_pos"""
+SQL["s18_largest_response"] = b("""SELECT origin, destination, season, block_no, date_pos, group_cabin, packages FROM market_bodies
+  QUALIFY row_number() OVER (PARTITION BY origin, destination, season, block_no, date_pos, group_cabin ORDER BY length(body) DESC, body)=1""")
 C["air"] = f"""SELECT {U}, group_cabin AS cabin, flight_id, count(*) AS brands, count(*) FILTER (qty%20<>19) AS mapped, count(*) FILTER (ln%3=0) AS refused, max(qty || ' KG x ' || ln || ' PC') AS last_value FROM cards WHERE flight_id%17<>0 GROUP BY ALL"""
 SQL["s19_airline_json"] = b(f"SELECT * FROM air QUALIFY row_number() OVER (PARTITION BY {L} ORDER BY brands DESC, flight_id)=1")
 w = c.cabin_of("raw_brand_name")
 tab = c.override('carrier', 'fare_family_code', "''", 2)
-C["boxes"] = f"""SELECT {FL}, carrier, raw_brand_name AS card, coalesce(tabled, raw_brand_name) AS raw_brand_name, CAST(CAST('319.08' AS DECIMAL(14,2)) + price_value AS DECIMAL(14,2)) AS pv FROM (SELECT *, {tab} AS tabled, {w} AS w FROM cards WHERE price_value IS NOT NULL)
-  WHERE tabled IS NOT NULL OR NOT coalesce(w<>group_cabin AND w<>'Premium Economy' AND group_cabin<>'Premium Economy' AND greatest({base('w')}, {base('group_cabin')}) <= 0, FALSE)"""
+C["boxes"] = f"""SELECT {FL}, carrier, raw_brand_name AS card, coalesce(tabled, raw_brand_name) AS raw_brand_name, CAST(CAST('319.08' AS DECIMAL(14,2)) + coalesce(price_value, 0) AS DECIMAL(14,2)) AS pv FROM (SELECT *, {tab} AS tabled, {w} AS w FROM cards)
+  WHERE tabled IS NOT NULL OR NOT coalesce(w<>group_cabin AND w<>'Premium Economy' AND group_cabin<>'Premium Economy' AND {base('w')} <= {base('group_cabin')}, FALSE)"""
 SQL["s20_search_page_json"] = b(f"""SELECT row_carrier, raw_brand_name, currency, line, kind, key, status, n, total FROM ({rule_line('line')} FROM (SELECT carrier AS row_carrier, raw_brand_name, 'USD' AS currency, line, count(*) AS n, CAST(sum(pv) AS DOUBLE) AS total
   FROM boxes JOIN (SELECT DISTINCT {FL}, raw_brand_name AS card, line FROM rule_lines) USING ({FL}, card) GROUP BY ALL)))""")
 SQL["s21_verification_report"] = b("""SELECT carrier, season, verdict, CASE WHEN season='Summer' AND verdict LIKE 'OK%' THEN 'prior' ELSE 'now' END AS origin_of_row, count(*) AS n FROM verdicts GROUP BY ALL""")

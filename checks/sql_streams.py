@@ -18,8 +18,12 @@ def strongest(src):
 
 SQL["t3_strongest_per_unit"] = b(strongest("ev"))
 SQL["t4_exactly_once"] = "SELECT count(*) AS rows, count(DISTINCT event_id) AS events FROM events"
-SQL["t5_throughput"] = b(f"""SELECT {st('s', 'start')}, {st("s + INTERVAL 10 MINUTE", '"end"')}, finished, finished/CAST(10 AS DOUBLE) AS per_minute, CAST(floor(greatest(100-finished,0)/(finished/CAST(10 AS DOUBLE))+0.5) AS BIGINT) AS eta_minutes
-  FROM (SELECT date_trunc('minute', ts) - to_minutes(i) AS s, count(*) AS finished FROM ev, range(0,10) r(i) WHERE event='end' GROUP BY ALL)""")
+C["rate"] = "SELECT date_trunc('minute', ts) - to_minutes(i) AS s, count(*) AS finished FROM ev, range(0,10) r(i) WHERE event='end' GROUP BY ALL"
+C["first_done"] = "SELECT date_trunc('minute', min(ts)) + INTERVAL 1 MINUTE AS m FROM ev WHERE event='end' GROUP BY unit"
+C["done_marks"] = "SELECT m, sum(n) AS n FROM (SELECT m, 1 AS n FROM first_done UNION ALL SELECT s + INTERVAL 10 MINUTE, 0 FROM rate) GROUP BY m"
+C["done_by"] = "SELECT m, sum(n) OVER (ORDER BY m) AS done FROM done_marks"
+SQL["t5_throughput"] = b(f"""SELECT {st('s', 'start')}, {st("m", '"end"')}, finished, finished/CAST(10 AS DOUBLE) AS per_minute,
+  CAST(floor(greatest((SELECT count(*) FROM customer)-done,0)/(finished/CAST(10 AS DOUBLE))+0.5) AS BIGINT) AS eta_minutes FROM rate JOIN done_by ON m = s + INTERVAL 10 MINUTE""")
 C["log"] = "SELECT *, 'run' || strftime(ts, '%Y%m%d') AS run_id FROM ev WHERE event<>'start'"
 SQL["t6_run_tallies"] = b("""SELECT run_id, CAST(3 AS INT) AS skipped, count(*) FILTER (t) AS terminal, count(*) FILTER (t AND status IN ('success','partial')) AS ok, count(*) FILTER (t AND status='no_availability') AS empty,
   count(*) FILTER (t AND status='failed') AS failed, CAST(coalesce(sum(brands) FILTER (t), 0) AS BIGINT) AS brands FROM (SELECT *, attempt<>4 AS t FROM log) GROUP BY ALL""")
