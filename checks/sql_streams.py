@@ -1,6 +1,6 @@
 """SQL for the streaming queries: what a batch over the whole log gives."""
 
-from .cte import C, build as b
+from .cte import C, build as b, itin
 
 SQL = {}
 C["ev"] = """SELECT event_id, ts, user_id AS unit, CASE event_type WHEN 'click' THEN 'start' WHEN 'error' THEN 'retry' ELSE 'end' END AS event,
@@ -24,9 +24,13 @@ C["done_marks"] = "SELECT m, sum(n) AS n FROM (SELECT m, 1 AS n FROM first_done
 C["done_by"] = "SELECT m, sum(n) OVER (ORDER BY m) AS done FROM done_marks"
 SQL["t5_throughput"] = b(f"""SELECT {st('s', 'start')}, {st("m", '"end"')}, finished, finished/CAST(10 AS DOUBLE) AS per_minute,
   CAST(floor(greatest((SELECT count(*) FROM customer)-done,0)/(finished/CAST(10 AS DOUBLE))+0.5) AS BIGINT) AS eta_minutes FROM rate JOIN done_by ON m = s + INTERVAL 10 MINUTE""")
+C["unit_ev"] = f"SELECT *, {itin('unit', dates=False)} FROM ev"
+SQL["s17_event_jsonl"] = b(f"""SELECT event, carrier, source, status, count(*) AS n, CAST(sum(brands) AS BIGINT) AS brands, {st('max(ts)', 'last')} FROM unit_ev WHERE event_id%50<>7 GROUP BY event, carrier, source, status
+  UNION ALL SELECT '(broken)', '', '', '', count(*), NULL, NULL FROM ev WHERE event_id%50=7""")
 C["log"] = "SELECT *, 'run' || strftime(ts, '%Y%m%d') AS run_id FROM ev WHERE event<>'start'"
-SQL["t6_run_tallies"] = b("""SELECT run_id, CAST(3 AS INT) AS skipped, count(*) FILTER (t) AS terminal, count(*) FILTER (t AND status IN ('success','partial')) AS ok, count(*) FILTER (t AND status='no_availability') AS empty,
-  count(*) FILTER (t AND status='failed') AS failed, CAST(coalesce(sum(brands) FILTER (t), 0) AS BIGINT) AS brands FROM (SELECT *, attempt<>4 AS t FROM log) GROUP BY ALL""")
+SQL["t6_run_tallies"] = b("""SELECT strftime(ts, '%Y-%m') AS log, run, CAST(max(skipped) AS INT) AS skipped, count(*) FILTER (t) AS terminal, count(*) FILTER (t AND status IN ('success','partial')) AS ok, count(*) FILTER (t AND status='no_availability') AS empty,
+  count(*) FILTER (t AND status='failed') AS failed, CAST(coalesce(sum(brands) FILTER (t), 0) AS BIGINT) AS brands FROM (SELECT *, attempt<>4 AS t, strftime(first, '%Y-%m-%d %H:%M:%S') AS run, day(first)%5 AS skipped
+   FROM (SELECT *, min(ts) OVER (PARTITION BY CAST(ts AS DATE), hour(ts)//12) AS first FROM log)) GROUP BY ALL""")
 SQL["t6_per_minute"] = b(f"""SELECT {st("date_trunc('hour', ts)", 'start')}, count(*) AS outcomes, count(*) FILTER (status='success') AS succeeded, count(*) FILTER (status='partial') AS partial,
   count(*) FILTER (status='failed') AS failed, CAST(sum(brands) AS BIGINT) AS brands FROM log GROUP BY date_trunc('hour', ts)""")
 SQL["t7_idle_sessions"] = b(f"""SELECT run_id, {st('min(ts)', 'start')}, {st("max(ts) + INTERVAL 300 SECOND", '"end"')}, count(*) AS events FROM (SELECT *, count(*) FILTER (gap) OVER (PARTITION BY run_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sess FROM (

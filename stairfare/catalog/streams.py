@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..sources import bridge, records
+from ..sources import bridge, event_log, records
 from ..sources.tables import scratch, table
 from ..streaming import events as ev
 from .files import record_files
@@ -31,9 +31,26 @@ def t2_event_stream(spark, sf):
     return tally(out, "event", "status", "attempt")
 
 
+@query
+def s17_event_jsonl(spark, sf):
+    """The event log as JSON lines in two deliveries with a restart between; every fiftieth line was cut in half by a crash."""
+    path, base = scratch(spark, "event-log"), scratch(spark, "event-log-in")
+    e = bridge.with_itinerary(ev.parsed(table(spark, sf, "events")), key="unit", season=False)
+    log = e.select("event_id", *[c for c in ("ts", "event", "source", "carrier", "origin", "destination", "status", "brands", "attempt", "error")])
+    lines = log.select("event_id", event_log.emit_line(log.drop("event_id").columns).alias("value"))
+    cut = F.when(F.col("event_id") % 50 == 7, F.substr("value", F.lit(1), (F.length("value") / 2).cast("int"))).otherwise(F.col("value"))
+    for part in (0, 1):
+        lines.where(F.col("event_id") % 2 == part).select(cut.alias("value")).write.mode("append").text(path)
+        good, broken = event_log.take_in(spark, path, base)
+    kept = good.groupBy("event", "carrier", "source", "status").agg(F.count("*").alias("n"), F.sum("brands").alias("brands"), F.max("ts").alias("ts"))
+    side = broken.agg(F.lit("(broken)").alias("event"), F.lit("").alias("carrier"), F.lit("").alias("source"), F.lit("").alias("status"),
+                      F.count("*").alias("n"), F.lit(None).cast("bigint").alias("brands"), F.lit(None).cast("timestamp").alias("ts"))
+    return kept.unionByName(side).select("event", "carrier", "source", "status", "n", "brands", F.date_format("ts", STAMP).alias("last"))
+
+
 @query
 def t3_strongest_per_unit(spark, sf):
-    return ev.run_to_latest(ev.strongest(ev.event_stream(spark, sf)), "strongest", ["unit"])
+    return ev.keep_strongest(ev.event_stream(spark, sf), "strongest")
 
 
 @query
@@ -55,24 +72,30 @@ def t5_throughput(spark, sf):
 
 
 def log_lines(spark, sf):
-    """The event log as the text a run writes, one run per day, headers included."""
+    """The event log as the text runs write into one log a month: a header at the start of each half day, no run on the lines."""
     e = ev.parsed(table(spark, sf, "events")).where("event <> 'start'")
-    day = F.date_format("ts", "yyyyMMdd")
-    line = F.concat_ws(" | ", F.date_format("ts", STAMP), F.concat(F.lit("run"), day), F.concat(F.lit("unit"), F.col("unit").cast("string")),
+    stamp, half = F.date_format("ts", STAMP), F.floor(F.hour("ts") / 12)
+    line = F.concat_ws(" | ", stamp, F.concat(F.lit("unit"), F.col("unit").cast("string")),
                        F.col("status"), F.concat(F.lit("brands="), F.col("brands").cast("string"),
                                                  F.when(F.col("attempt") == 4, " falling back").otherwise("")))
-    heads = e.groupBy(day.alias("day")).agg(F.count("*").alias("n"), F.min("ts").alias("ts"))
-    head = F.concat_ws(" | ", F.date_format("ts", STAMP), F.concat(F.lit("run"), "day"), F.concat(
-        F.lit("Units: "), F.col("n").cast("string"), F.lit(" total, "), F.col("n").cast("string"), F.lit(" pending, 3 skipped")))
-    return e.select(line.alias("value")).unionByName(heads.select(head.alias("value")))
+    log = F.date_format("ts", "yyyy-MM")
+    heads = e.groupBy(F.to_date("ts").alias("day"), half.alias("half")).agg(F.count("*").alias("n"), F.min("ts").alias("ts"))
+    head = F.concat_ws(" | ", stamp, F.concat(F.lit("Units: "), F.col("n").cast("string"), F.lit(" total, "), F.col("n").cast("string"),
+                                              F.lit(" pending, "), (F.dayofmonth("ts") % 5).cast("string"), F.lit(" skipped")))
+    return e.select(log.alias("log"), "ts", line.alias("value")).unionByName(heads.select(log.alias("log"), "ts", head.alias("value")))
 
 
 @query
 def t6_run_tallies(spark, sf):
-    path = scratch(spark, "log")
-    log_lines(spark, sf).write.text(path)
-    stream = ev.run_tallies(ev.parse_log(spark.readStream.text(path)))
-    return ev.run_to_latest(stream, "tallies", ["run_id"])
+    """Counts that start again at every header; the second delivery goes on in the middle of a run."""
+    path, base = scratch(spark, "log"), scratch(spark, "tallies")
+    lines = log_lines(spark, sf)
+    early = (F.dayofmonth("ts") < 15) | (F.dayofmonth("ts") == 15) & (F.hour("ts") < 6)
+    for part in (early, ~early):
+        lines.where(part).select("log", "value").write.mode("append").partitionBy("log").text(path)
+        logs = spark.readStream.schema("value string, log string").text(path)
+        out = ev.run_tallies(ev.parse_log(logs), "tallies", base)
+    return out
 
 
 @query
@@ -86,7 +109,16 @@ def t6_per_minute(spark, sf):
 
 @query
 def t7_idle_sessions(spark, sf):
-    out = ev.run_to_whole(ev.sessions(ev.of_run(ev.event_stream(spark, sf))), "sessions")
+    """Two deliveries, the second from the middle of a day on; spans that reach over the break are one."""
+    path, base = scratch(spark, "in-two"), scratch(spark, "sessions")
+    raw = table(spark, sf, "events")
+    early = (F.dayofmonth("ts") < 15) | (F.dayofmonth("ts") == 15) & (F.hour("ts") < 6)
+    newest = F.lit(raw.agg(F.date_trunc("month", F.max("ts"))).first()[0])
+    first = (F.date_trunc("month", "ts") < newest) | early
+    for part, folder in ((first, "a"), (~first, "b")):
+        raw.where(part).write.parquet(f"{path}/{folder}")
+        stream = spark.readStream.schema(ev.EVENT).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").parquet(path)
+        out = ev.run_sessions(ev.of_run(ev.parsed(stream)), "sessions", base=base)
     return out.select("run_id", text("start"), text("end"), "events")
 
 

@@ -4,6 +4,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def written(spark: SparkSession, folder: str) -> bool:
+    """Whether an earlier start has left ``folder``."""
+    try:
+        spark.read.schema("x int").parquet(folder)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
