@@ -42,38 +42,57 @@ C["sided"] = f"""SELECT {D}, side, raw_brand_name, (min({{'p': price_value, 's':
   FROM (SELECT *, CASE WHEN ln%2=1 THEN 'primary' ELSE 'secondary' END AS side FROM lines WHERE price_type='absolute' AND price_value IS NOT NULL) GROUP BY ALL"""
 C["family_lists"] = f"""SELECT {D}, side, list({{'s': screen_order, 'name': raw_brand_name, 'k': {key('raw_brand_name')}, 'price': price_value}} ORDER BY screen_order, raw_brand_name) AS f FROM sided GROUP BY ALL"""
 # matching walks the primary ladder one family per step
-SQL["j5_match_brands"] = "WITH RECURSIVE " + b(f"""SELECT carrier, f[pi].name AS own, g[oj].name AS other, count(*) AS n FROM all_pairs GROUP BY ALL""", **{
-    "two": f"SELECT {D}, carrier || '|' || origin || '|' || destination || '|' || season || departure || group_cabin AS id, p.f AS f, s.f AS g FROM (SELECT * FROM family_lists WHERE side='primary') p JOIN (SELECT * FROM family_lists WHERE side='secondary') s USING ({D})",
-    "walk": """SELECT id, f, g, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS ps, CAST([] AS BIGINT[]) AS os FROM two UNION ALL
+
+
+def pair_steps(two):
+    """Fragments that match the lists ``f`` and ``g`` of each ``id`` of ``two``; ``all_pairs`` has the places ``pi, oj``."""
+    return {
+        "two": two,
+        "walk": """SELECT id, f, g, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS ps, CAST([] AS BIGINT[]) AS os FROM two UNION ALL
       SELECT id, f, g, i+1, CASE WHEN pick IS NOT NULL THEN list_append(ps, i+1) ELSE ps END, CASE WHEN pick IS NOT NULL THEN list_append(os, pick) ELSE os END FROM (
        SELECT *, CASE WHEN len(exact)>0 THEN exact[1] WHEN len(near)=1 THEN near[1] END AS pick FROM (
         SELECT *, list_filter(range(1, len(g)+1), lambda j: g[j].k = f[i+1].k AND NOT list_contains(os, j)) AS exact,
          list_filter(range(1, len(g)+1), lambda j: (contains(g[j].k, f[i+1].k) OR contains(f[i+1].k, g[j].k)) AND NOT list_contains(os, j)) AS near FROM walk WHERE i < len(f)))""",
-    "ended": "SELECT * FROM walk WHERE i = len(f)",
-    "priced": """SELECT id, unnest(range(1, len(f)+1)) AS n, unnest(list_transform(list_sort(list_transform(range(1, len(f)+1), lambda i: {'p': f[i].price, 'i': i})), lambda x: x.i)) AS pi,
-      unnest(list_transform(list_sort(list_transform(range(1, len(f)+1), lambda i: {'p': g[i].price, 'i': i})), lambda x: x.i)) AS oj FROM ended WHERE len(f)=len(g)""",
-    "pairs": """SELECT id, unnest(ps) AS pi, unnest(os) AS oj FROM ended UNION ALL SELECT p.id, p.pi, p.oj FROM priced p JOIN ended e ON p.id=e.id
+        "ended": "SELECT * FROM walk WHERE i = len(f)",
+        "priced": """SELECT id, unnest(range(1, len(f)+1)) AS n, unnest(list_transform(list_sort(list_transform(range(1, len(f)+1), lambda i: {'o': f[i].price IS NULL, 'p': f[i].price, 'i': i})), lambda x: x.i)) AS pi,
+      unnest(list_transform(list_sort(list_transform(range(1, len(f)+1), lambda i: {'o': g[i].price IS NULL, 'p': g[i].price, 'i': i})), lambda x: x.i)) AS oj FROM ended WHERE len(f)=len(g)""",
+        "pairs": """SELECT id, unnest(ps) AS pi, unnest(os) AS oj FROM ended UNION ALL SELECT p.id, p.pi, p.oj FROM priced p JOIN ended e ON p.id=e.id
       WHERE NOT list_contains(ps, p.pi) AND NOT list_contains(os, p.oj)""",
-    "all_pairs": "SELECT two.*, pi, oj FROM pairs JOIN two USING (id)"})[5:]
+        "all_pairs": "SELECT two.*, pi, oj, f[pi].name AS own, g[oj].name AS other FROM pairs JOIN two USING (id)"}
+
+
+def recursive(select, steps):
+    return "WITH RECURSIVE " + b(select, **steps)[5:]
+
+
+sides = pair_steps(f"SELECT {D}, carrier || '|' || origin || '|' || destination || '|' || season || departure || group_cabin AS id, p.f AS f, s.f AS g FROM (SELECT * FROM family_lists WHERE side='primary') p JOIN (SELECT * FROM family_lists WHERE side='secondary') s USING ({D})")
+SQL["j5_match_brands"] = recursive("SELECT carrier, own, other, count(*) AS n FROM all_pairs GROUP BY ALL", sides)
 C["sided_rights"] = f"""SELECT {D}, side, raw_brand_name, right_key, status, raw_value FROM (SELECT *, CASE WHEN ln%2=1 THEN 'primary' ELSE 'secondary' END AS side FROM rights)
   QUALIFY row_number() OVER (PARTITION BY {D}, side, raw_brand_name, right_key ORDER BY {rank_of('status')} DESC, pos DESC, status DESC, raw_value DESC)=1"""
-SQL["j6_fill_rights"] = b(f"""SELECT carrier, right_key, CASE WHEN t THEN os ELSE status END AS status, t AS filled, count(*) AS n,
+C["sided_miles"] = f"""SELECT {D}, side, raw_brand_name, CASE WHEN is_open THEN TRUE WHEN ln%3=0 THEN FALSE END AS miles, CASE WHEN is_open THEN CAST(CASE WHEN qty%2=0 THEN qty*10 ELSE qty END AS VARCHAR) END AS number
+  FROM (SELECT *, CASE WHEN ln%2=1 THEN 'primary' ELSE 'secondary' END AS side FROM lines WHERE price_type='absolute' AND price_value IS NOT NULL)
+  QUALIFY row_number() OVER (PARTITION BY {D}, side, raw_brand_name ORDER BY price_value, screen_order)=1"""
+SQL["j6_fill_rights"] = recursive(f"""SELECT carrier, right_key, CASE WHEN t THEN os ELSE status END AS status, t AS filled, count(*) AS n,
    max(CASE WHEN t THEN CASE WHEN ov<>'' THEN ov ELSE coalesce(raw_value,'') END ELSE raw_value END) AS last_value FROM (
   SELECT *, (status IS NULL OR status='Unknown') AND os IS NOT NULL AS t FROM
    (SELECT * EXCLUDE (side) FROM sided_rights WHERE side='primary') FULL OUTER JOIN
-   (SELECT * EXCLUDE (side, status, raw_value), status AS os, raw_value AS ov FROM sided_rights s WHERE side='secondary' AND status<>'Unknown'
-     AND EXISTS (SELECT 1 FROM sided_rights p WHERE p.side='primary' AND {' AND '.join(f'p.{x.strip()}=s.{x.strip()}' for x in (D + ', raw_brand_name').split(','))}))
-   USING ({D}, raw_brand_name, right_key)) GROUP BY ALL""")
+   (SELECT {D}, own AS raw_brand_name, right_key, status AS os, raw_value AS ov FROM (SELECT * FROM sided_rights WHERE side='secondary' AND status<>'Unknown') s JOIN all_pairs USING ({D}) WHERE s.raw_brand_name=other)
+   USING ({D}, raw_brand_name, right_key)) GROUP BY ALL
+  UNION ALL SELECT carrier, 'miles', CASE CASE WHEN t THEN om ELSE miles END WHEN TRUE THEN 'Included' WHEN FALSE THEN 'Not Included' ELSE 'Unknown' END, t, count(*), max(CASE WHEN t THEN onum ELSE number END) FROM (
+   SELECT *, miles IS NULL AND om IS NOT NULL AS t FROM (SELECT * FROM sided_miles WHERE side='primary') LEFT JOIN
+    (SELECT {D}, own AS raw_brand_name, miles AS om, number AS onum FROM (SELECT * FROM sided_miles WHERE side='secondary' AND miles IS NOT NULL) s JOIN all_pairs USING ({D}) WHERE s.raw_brand_name=other)
+   USING ({D}, raw_brand_name)) GROUP BY ALL""", sides)
 C["best_rights"] = f"""SELECT {FL}, raw_brand_name, right_key, status, raw_value FROM rights
   QUALIFY row_number() OVER (PARTITION BY {FL}, raw_brand_name, right_key ORDER BY {rank_of('status')} DESC, pos DESC)=1"""
 SQL["a4_strongest_status"] = b("SELECT right_key, status, count(*) AS n, max(raw_value) AS last_value FROM best_rights GROUP BY ALL")
 SQL["a5_strongest_known_status"] = b(f"""SELECT right_key, status, count(*) AS n, min(raw_value) AS first_value FROM (SELECT * FROM rights WHERE status<>'Unknown'
   QUALIFY row_number() OVER (PARTITION BY {FL}, raw_brand_name, right_key ORDER BY {rank_of('status')} DESC, pos)=1) GROUP BY ALL""")
 C["search_winner"] = f"SELECT {S}, flight_id AS winner FROM dated QUALIFY row_number() OVER (PARTITION BY {S} ORDER BY n_brands DESC, bad_steps, worst_step, flight_id)=1"
-SQL["j7_fill_rights_across_flights"] = b(f"""SELECT carrier, right_key, status, flight_id <> winner AS borrowed, count(*) AS n FROM (
-  SELECT {S}, raw_brand_name, right_key, status, flight_id FROM best_rights JOIN dated USING ({FL}) WHERE status<>'Unknown'
-   QUALIFY row_number() OVER (PARTITION BY {S}, raw_brand_name, right_key ORDER BY n_brands DESC, bad_steps, worst_step, flight_id)=1)
-  JOIN search_winner USING ({S}) JOIN (SELECT {FL.replace('flight_id', 'flight_id AS winner')}, raw_brand_name FROM cards) USING (winner, season, group_cabin, raw_brand_name) GROUP BY ALL""")
+C["flight_lists"] = f"SELECT {S}, flight_id, list({{'s': screen_order, 'name': raw_brand_name, 'k': {key('raw_brand_name')}, 'price': price_value}} ORDER BY screen_order, raw_brand_name) AS l FROM cards GROUP BY ALL"
+flights = pair_steps(f"""SELECT {S}, o.flight_id AS flight_id, winner, concat_ws('|', {S}, o.flight_id) AS id, w.l AS f, o.l AS g FROM flight_lists o JOIN search_winner USING ({S}) JOIN flight_lists w USING ({S}) WHERE w.flight_id = winner""")
+SQL["j7_fill_rights_across_flights"] = recursive(f"""SELECT carrier, right_key, status, flight_id <> winner AS borrowed, count(*) AS n FROM (
+  SELECT {S}, own, right_key, status, r.flight_id AS flight_id, winner FROM (SELECT * FROM best_rights JOIN dated USING ({FL}) WHERE status<>'Unknown') r JOIN all_pairs p USING ({S}, flight_id) WHERE r.raw_brand_name = p.other
+   QUALIFY row_number() OVER (PARTITION BY {S}, own, right_key ORDER BY n_brands DESC, bad_steps, worst_step, r.flight_id)=1) GROUP BY ALL""", flights)
 SQL["j8_top_up"] = b(f"""SELECT carrier, group_cabin, raw_brand_name, added, CAST(screen_no AS INT) AS screen_no, count(*) AS n, CAST(sum(price_value) AS DOUBLE) AS total FROM (
   SELECT *, row_number() OVER (PARTITION BY {D} ORDER BY price_value NULLS LAST, added, screen_order, raw_brand_name) - 1 AS screen_no FROM (
    SELECT *, side='secondary' AS added FROM sided s WHERE side='primary' OR (

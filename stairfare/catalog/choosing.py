@@ -108,14 +108,22 @@ def sides(spark, sf):
     return df.where("side = 'primary'"), df.where("side = 'secondary'")
 
 
+def side_lists(spark, sf):
+    """Both sources' ladders of a unit, date and cabin side by side, from one pass over the cards."""
+    df = bridge.sided_cards(spark, sf).withColumn("k", names.match_key(F.col("raw_brand_name")))
+    item = F.struct("screen_order", F.col("raw_brand_name").alias("name"), "k", F.col("price_value").alias("price"))
+    of = lambda side: F.sort_array(F.collect_list(F.when(F.col("side") == side, item)))
+    return df.groupBy(*SIDED).agg(of("primary").alias("mine"), of("secondary").alias("theirs")).where("size(mine) > 0 and size(theirs) > 0")
+
+
+def aligned_sides(spark, sf):
+    return matching.aligned_names(side_lists(spark, sf), SIDED)
+
+
 @query
 def j5_match_brands(spark, sf):
-    p, s = sides(spark, sf)
-    both = matching.family_lists(p, SIDED, "mine").join(matching.family_lists(s, SIDED, "theirs"), SIDED)
-    pairs = both.select("*", F.inline(matching.matched_pairs(F.col("mine"), F.col("theirs"))))
-    name = lambda arr, i: F.get(F.col(arr), F.col(i)).getField("name")
-    return pairs.groupBy("carrier", name("mine", "p").alias("own"), name("theirs", "o").alias("other")) \
-        .agg(F.count("*").alias("n"))
+    pairs = aligned_sides(spark, sf)
+    return pairs.groupBy("carrier", F.col("raw_brand_name").alias("own"), F.col("other_name").alias("other")).agg(F.count("*").alias("n"))
 
 
 def sided_rights(spark, sf):
@@ -123,37 +131,47 @@ def sided_rights(spark, sf):
     return matching.merged_rights(df, SIDED + ["side", "raw_brand_name"])
 
 
+def both_sides(df):
+    return [df.where(F.col("side") == side).drop("side") for side in ("primary", "secondary")]
+
+
 @query
 def j6_fill_rights(spark, sf):
-    """Rights of the primary source's brands, holes filled from the same brand elsewhere."""
-    r = sided_rights(spark, sf)
+    """Rights and miles of the primary source's families, holes filled from the family the match pairs with each."""
     key = SIDED + ["raw_brand_name"]
-    own = r.where("side = 'primary'").drop("side")
-    other = r.where("side = 'secondary'").drop("side").join(own.select(*key).distinct(), key, "left_semi")
-    return matching.fill_rights(own, other, key).groupBy("carrier", "right_key", "status", "filled") \
+    aligned = aligned_sides(spark, sf)
+    own, other = both_sides(sided_rights(spark, sf))
+    rights = matching.fill_rights(own, matching.under_own_name(other, aligned, SIDED), key)
+    mine, theirs = both_sides(bridge.sided_miles(spark, sf))
+    miles = matching.fill_miles(mine, matching.under_own_name(theirs, aligned, SIDED), key)
+    said = F.when(F.col("mileage_available"), "Included").when(~F.col("mileage_available"), "Not Included").otherwise("Unknown")
+    number = F.coalesce(F.col("miles_earned"), F.col("bonus_percent")).cast("int").cast("string")
+    miles = miles.select("carrier", F.lit("miles").alias("right_key"), said.alias("status"), "filled", number.alias("raw_value"))
+    return rights.select(*miles.columns).unionByName(miles).groupBy("carrier", "right_key", "status", "filled") \
         .agg(F.count("*").alias("n"), F.max("raw_value").alias("last_value"))
 
 
 @query
 def j7_fill_rights_across_flights(spark, sf):
-    """Rights the winning itinerary lacks, from the next best itinerary selling the brand.
+    """Rights the winning itinerary lacks, from the next best itinerary that sells the family under any spelling.
 
-    One minimum per brand and right replaces a walk over the itineraries of a search.
+    Each other itinerary's ladder is matched with the winner's once; one minimum per family and right then
+    replaces a walk over the itineraries of a search.
     """
     scores = dated_ladders(spark, sf).select(*FL, "block_no", "date_pos", *[c for c in U if c != "season"],
                                              "n_brands", "bad_steps", "worst_step")
     order = F.struct(-F.col("n_brands"), "bad_steps", "worst_step", "flight_id")
     winner = ladder.first_rows(scores, SEARCH, [
-        F.col("n_brands").desc(), F.col("bad_steps"), F.col("worst_step"), F.col("flight_id")])
-    r = matching.merged_rights(bridge.rights(spark, sf), FL + ["raw_brand_name"])
-    r = r.where("status <> 'Unknown'").join(scores, FL)
-    best = r.groupBy(*SEARCH, "raw_brand_name", "right_key").agg(
+        F.col("n_brands").desc(), F.col("bad_steps"), F.col("worst_step"), F.col("flight_id")]) \
+        .select(*SEARCH, F.col("flight_id").alias("winner"))
+    lists = matching.family_lists(bridge.cards(spark, sf), [*SEARCH, "flight_id"], "theirs").join(winner, SEARCH)
+    best_list = lists.where("flight_id = winner").select(*SEARCH, F.col("theirs").alias("mine"))
+    aligned = matching.aligned_names(lists.join(best_list, SEARCH), [*SEARCH, "flight_id", "winner"])
+    r = matching.merged_rights(bridge.rights(spark, sf), FL + ["raw_brand_name"]).where("status <> 'Unknown'").join(scores, FL)
+    best = matching.under_own_name(r, aligned, [*SEARCH, "flight_id"]).groupBy(*SEARCH, "winner", "raw_brand_name", "right_key").agg(
         F.min(F.struct(order.alias("o"), "status", "flight_id")).alias("b"))
-    brands = bridge.cards(spark, sf).select(*FL, "raw_brand_name").join(
-        winner.select(*SEARCH, "flight_id"), FL).withColumnRenamed("flight_id", "winner")
-    out = best.join(brands, SEARCH + ["raw_brand_name"])
-    return out.groupBy("carrier", "right_key", F.col("b.status").alias("status"),
-                       (F.col("b.flight_id") != F.col("winner")).alias("borrowed")).agg(F.count("*").alias("n"))
+    return best.groupBy("carrier", "right_key", F.col("b.status").alias("status"),
+                        (F.col("b.flight_id") != F.col("winner")).alias("borrowed")).agg(F.count("*").alias("n"))
 
 
 @query

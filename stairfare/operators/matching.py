@@ -44,6 +44,29 @@ def fill_rights(own: DataFrame, other: DataFrame, keys) -> DataFrame:
                     take.alias("filled"))
 
 
+def fill_miles(own: DataFrame, other: DataFrame, keys, columns=("mileage_available", "miles_earned", "bonus_percent")) -> DataFrame:
+    """Miles of ``own``; all of them from ``other`` where ``own`` does not say whether there are any."""
+    o = other.where(F.col(columns[0]).isNotNull()).select(*keys, *[F.col(c).alias(f"o_{c}") for c in columns])
+    take = F.col(columns[0]).isNull() & F.col(f"o_{columns[0]}").isNotNull()
+    return own.join(o, list(keys), "left").select(
+        *keys, *[F.when(take, F.col(f"o_{c}")).otherwise(F.col(c)).alias(c) for c in columns], take.alias("filled"))
+
+
+def aligned_names(lists: DataFrame, keys, own="mine", other="theirs", name="raw_brand_name") -> DataFrame:
+    """``keys, raw_brand_name, other_name``: which family of the other ladder is which of one's own.
+
+    A family of either ladder stands in one row at most, so what is joined over it cannot multiply.
+    """
+    pairs = lists.select(*keys, own, other, F.inline(matched_pairs(F.col(own), F.col(other))))
+    return pairs.select(*keys, F.get(own, F.col("p")).getField("name").alias(name), F.get(other, F.col("o")).getField("name").alias("other_name"))
+
+
+def under_own_name(rows: DataFrame, aligned: DataFrame, keys, name="raw_brand_name") -> DataFrame:
+    """Rows of the other source under the names one's own ladder uses; families without a match drop."""
+    renamed = rows.withColumnRenamed(name, "other_name")
+    return renamed.join(aligned, [*keys, "other_name"]).drop("other_name")
+
+
 def family_lists(df: DataFrame, keys, out="families", name="raw_brand_name") -> DataFrame:
     """Families of one ladder in screen order: array<struct<screen_order,name,k,price>>."""
     item = F.struct("screen_order", F.col(name).alias("name"), match_key(F.col(name)).alias("k"),

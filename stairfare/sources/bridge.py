@@ -236,6 +236,19 @@ def sided_cards(spark, sf_dir) -> DataFrame:
         .select(*UNIT, "departure", "group_cabin", "side", "raw_brand_name", "best.*")
 
 
+def sided_miles(spark, sf_dir) -> DataFrame:
+    """What either source says about miles of a family, from its cheapest line."""
+    df = with_itinerary(raw_lines(spark, sf_dir)).where(
+        (F.col("price_type") == "absolute") & F.col("price_value").isNotNull())
+    df = df.withColumn("side", F.when(F.col("ln") % 2 == 1, "primary").otherwise("secondary"))
+    best = F.min(F.struct("price_value", "screen_order", "is_open", "ln", "qty")).alias("b")
+    per = df.groupBy(*UNIT, "departure", "group_cabin", "side", "raw_brand_name").agg(best)
+    said = F.when(F.col("b.is_open"), True).when(F.col("b.ln") % 3 == 0, False)
+    return per.select(*UNIT, "departure", "group_cabin", "side", "raw_brand_name", said.alias("mileage_available"),
+                      F.when(F.col("b.is_open") & (F.col("b.qty") % 2 == 0), F.col("b.qty") * 10.0).alias("miles_earned"),
+                      F.when(F.col("b.is_open") & (F.col("b.qty") % 2 == 1), F.col("b.qty") * 1.0).alias("bonus_percent"))
+
+
 def attempts(spark, sf_dir) -> DataFrame:
     """One collection attempt per itinerary and season, with what it brought back.
 
