@@ -13,6 +13,21 @@ FL = "flight_id, season, group_cabin"
 C["cards"] = C["cards"].replace("SELECT * EXCLUDE (rn),", "SELECT * EXCLUDE (rn), n_seen*3 AS n_rights,").replace(
     "row_number() OVER", "count(*) OVER (PARTITION BY flight_id, season, group_cabin, raw_brand_name) n_seen, row_number() OVER")
 
+# attempts and how they ended
+C["attempts"] = f"""SELECT *, CASE WHEN flight_id%31=0 THEN '' ELSE src END AS source, CASE WHEN flight_id%34=0 THEN 'failed' ELSE 'success' END AS status,
+  CASE WHEN flight_id%34=0 THEN 'timeout' WHEN flight_id%51=0 THEN 'no flights' ELSE '' END AS error, carrier IN ('PC','VF') AS opportunistic, (flight_id%97)/CAST(4 AS DOUBLE) AS elapsed_s
+  FROM (SELECT flight_id, {U}, pass_no, source AS src, CAST(count(DISTINCT CASE WHEN keep THEN group_cabin END) AS INT) AS n_cabins, count(*) FILTER (keep) AS n_brands,
+   count(*) FILTER (keep AND price_value IS NOT NULL AND flight_id%29<>0) AS n_priced, count(*) FILTER (keep AND n_rights>3 AND flight_id%23<>0) AS n_with_rights,
+   count(*) FILTER (keep AND mileage_available IS NOT NULL AND flight_id%37<>0) AS n_with_miles, bool_or(keep AND group_cabin='Business') AS has_business, bool_or(keep AND group_cabin='Economy') AS has_economy
+  FROM (SELECT *, NOT (group_cabin='Business' AND flight_id%4=0) AND flight_id%17<>0 AS keep FROM cards) GROUP BY ALL)"""
+C["flagged"] = f"""SELECT *, source='' AS missing_source, n_cabins<1 AS missing_cabin, NOT {c.low_cost('carrier')} AND NOT has_business AS missing_business, n_brands=0 AS missing_brands,
+  n_brands>0 AND n_priced=0 AS missing_price, n_brands>0 AND n_with_rights=0 AS missing_rights, n_brands>0 AND n_with_miles=0 AS missing_miles FROM attempts"""
+C["judged_units"] = """SELECT *, CASE WHEN missing_brands THEN CASE WHEN status='failed' THEN 'failed' WHEN error='' THEN 'no_availability' ELSE 'failed' END
+   WHEN issues<>'' THEN 'partial' ELSE 'success' END AS final_status FROM (SELECT *, concat_ws('; ', CASE WHEN missing_source THEN 'no source recorded' END,
+   CASE WHEN missing_cabin THEN 'cabins found=' || n_cabins || ' < expected 1' END, CASE WHEN missing_business THEN 'no Business cabin for non-LCC carrier ' || carrier END,
+   CASE WHEN missing_brands THEN 'no branded fares extracted' END, CASE WHEN missing_price THEN 'no prices on any brand' END,
+   CASE WHEN missing_rights THEN 'no right data on any brand' END, CASE WHEN missing_miles THEN 'no miles data on any brand' END) AS issues FROM flagged)"""
+C["successes"] = f"SELECT DISTINCT {U}, pass_no FROM judged_units WHERE final_status='success'"
 C["ranked_ladders"] = f"""SELECT *, row_number() OVER (PARTITION BY {L} ORDER BY price, name_rank, raw_brand_name) - 1 AS brand_order
   FROM (SELECT *, {base('cabin')} + {subrank(subtier('raw_brand_name'))} AS name_rank FROM ladders)"""
 SQL["w1_brand_order"] = b(f"SELECT {L}, raw_brand_name, CAST(price AS DOUBLE) AS price, name_rank, CAST(brand_order AS INT) AS brand_order FROM ranked_ladders")
@@ -85,7 +100,7 @@ SQL["a2_ladder_content"] = b(f"""SELECT {U}, group_cabin, n_brands, CAST(right_l
   (SELECT {U}, group_cabin, count(*) AS n_brands, sum(n_rights) AS right_lines FROM cards GROUP BY ALL) JOIN
   (SELECT {U}, group_cabin, count(*) AS lines FROM rule_lines GROUP BY ALL) USING ({U}, group_cabin)""")
 RT = "carrier, origin, destination, cabin"
-C["season_keys"] = f"""SELECT {RT}, season, k, arg_min(slot, slot) AS at, arg_min(abs_price, slot) AS price FROM (SELECT *, {key('pretty_name')} AS k FROM published) WHERE k<>'' GROUP BY ALL"""
+C["season_keys"] = f"""SELECT {RT}, season, k, arg_min(slot, slot) AS at, arg_min(abs_price, slot) AS price FROM (SELECT *, {key('pretty_name')} AS k FROM published SEMI JOIN successes USING ({U}, pass_no)) WHERE k<>'' GROUP BY ALL"""
 SQL["j10_season_pair_preferences"] = b(f"""SELECT {RT}, CASE WHEN sg > wg THEN s1 ELSE w1 END AS first_key, CASE WHEN sg > wg THEN s2 ELSE w2 END AS second_key, CAST(greatest(sg, wg) AS DOUBLE) AS gap
  FROM (SELECT {', '.join('a.' + x.strip() for x in RT.split(','))}, abs(a.price-b.price) AS sg, abs(x.price-y.price) AS wg,
    CASE WHEN a.at<b.at THEN a.k ELSE b.k END AS s1, CASE WHEN a.at<b.at THEN b.k ELSE a.k END AS s2, CASE WHEN x.at<y.at THEN a.k ELSE b.k END AS w1, CASE WHEN x.at<y.at THEN b.k ELSE a.k END AS w2
@@ -102,7 +117,7 @@ SQL["j4_spelling_lookup"] = b(f"""SELECT carrier, k, spelling, count(*) AS n FRO
 
 # order repair: neighbours swap one pair per step, pass by pass, until a pass changes nothing
 _prefs = SQL["j10_season_pair_preferences"].split("\nSELECT", 1)[1]
-_second = {
+CONSENSUS = {
     "prefs": f"SELECT {RT}, list(first_key || '>' || second_key) AS pl FROM (SELECT {_prefs}) GROUP BY ALL",
     "queues": f"""SELECT *, {' || '.join(f"'|' || {x.strip()}" for x in RK.split(','))} AS id FROM (SELECT {RK}, list({{'i': brand_order, 'k': k}} ORDER BY brand_order) AS arr
       FROM (SELECT *, {key('pretty_name')} AS k FROM ordered_rows) GROUP BY ALL) JOIN prefs USING ({RT}) WHERE len(arr) > 1""",
@@ -118,4 +133,4 @@ _second = {
     "distinct2": C["distinct_rows"].replace("named_rows", "named2"),
     "pick2": C["ladder_pick"].replace("distinct_rows", "distinct2"),
     "published2": C["published"].replace("distinct_rows", "distinct2").replace("ladder_pick", "pick2")}
-SQL["j11_consensus_ladder"] = "WITH RECURSIVE " + b(f"SELECT {L}, shown_name, CAST(brand_order AS INT) AS brand_order, tier_code, CAST(abs_price AS DOUBLE) AS abs_price FROM published2", **_second)[5:]
+SQL["j11_consensus_ladder"] = "WITH RECURSIVE " + b(f"SELECT {L}, shown_name, CAST(brand_order AS INT) AS brand_order, tier_code, CAST(abs_price AS DOUBLE) AS abs_price FROM published2", **CONSENSUS)[5:]

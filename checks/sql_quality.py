@@ -4,23 +4,10 @@ from stairfare.rules import rights as R, vocab
 
 from . import cte as c
 from .cte import C, U, base, build as b, pretty, subrank, subtier
-from .sql_choosing import D
-from .sql_ladders import FL, L
+from .sql_choosing import D, recursive
+from .sql_ladders import CONSENSUS, FL, L
 
 SQL = {}
-C["attempts"] = f"""SELECT *, CASE WHEN flight_id%31=0 THEN '' ELSE src END AS source, CASE WHEN flight_id%34=0 THEN 'failed' ELSE 'success' END AS status,
-  CASE WHEN flight_id%34=0 THEN 'timeout' WHEN flight_id%51=0 THEN 'no flights' ELSE '' END AS error, carrier IN ('PC','VF') AS opportunistic, (flight_id%97)/CAST(4 AS DOUBLE) AS elapsed_s
-  FROM (SELECT flight_id, {U}, source AS src, CAST(count(DISTINCT CASE WHEN keep THEN group_cabin END) AS INT) AS n_cabins, count(*) FILTER (keep) AS n_brands,
-   count(*) FILTER (keep AND price_value IS NOT NULL AND flight_id%29<>0) AS n_priced, count(*) FILTER (keep AND n_rights>3 AND flight_id%23<>0) AS n_with_rights,
-   count(*) FILTER (keep AND mileage_available IS NOT NULL AND flight_id%37<>0) AS n_with_miles, bool_or(keep AND group_cabin='Business') AS has_business, bool_or(keep AND group_cabin='Economy') AS has_economy
-  FROM (SELECT *, NOT (group_cabin='Business' AND flight_id%4=0) AND flight_id%17<>0 AS keep FROM cards) GROUP BY ALL)"""
-C["flagged"] = f"""SELECT *, source='' AS missing_source, n_cabins<1 AS missing_cabin, NOT {c.low_cost('carrier')} AND NOT has_business AS missing_business, n_brands=0 AS missing_brands,
-  n_brands>0 AND n_priced=0 AS missing_price, n_brands>0 AND n_with_rights=0 AS missing_rights, n_brands>0 AND n_with_miles=0 AS missing_miles FROM attempts"""
-C["judged_units"] = """SELECT *, CASE WHEN missing_brands THEN CASE WHEN status='failed' THEN 'failed' WHEN error='' THEN 'no_availability' ELSE 'failed' END
-   WHEN issues<>'' THEN 'partial' ELSE 'success' END AS final_status FROM (SELECT *, concat_ws('; ', CASE WHEN missing_source THEN 'no source recorded' END,
-   CASE WHEN missing_cabin THEN 'cabins found=' || n_cabins || ' < expected 1' END, CASE WHEN missing_business THEN 'no Business cabin for non-LCC carrier ' || carrier END,
-   CASE WHEN missing_brands THEN 'no branded fares extracted' END, CASE WHEN missing_price THEN 'no prices on any brand' END,
-   CASE WHEN missing_rights THEN 'no right data on any brand' END, CASE WHEN missing_miles THEN 'no miles data on any brand' END) AS issues FROM flagged)"""
 FLAGS = ["missing_cabin", "missing_brands", "missing_price", "missing_rights", "missing_miles", "missing_source", "missing_business"]
 SQL["a6_unit_completeness"] = b(f"SELECT flight_id, {U}, {', '.join(FLAGS)}, issues, missing_brands OR missing_source OR missing_price OR missing_business AS needs_retry FROM judged_units")
 SQL["a7_final_status"] = b("SELECT carrier, status, final_status, count(*) AS n FROM judged_units GROUP BY ALL")
@@ -41,8 +28,8 @@ SQL["a10_duplicate_names"] = b(f"""SELECT carrier, pretty_name, count(*) AS ladd
   UNION ALL SELECT carrier, shown_name, count(*), 'published' FROM (SELECT {L}, shown_name FROM published GROUP BY ALL HAVING count(*)>1) GROUP BY ALL""")
 SQL["a11_misread_baggage"] = b(f"""SELECT carrier, right_key, short, count(*) AS n FROM (SELECT *, {c.bag_short('raw_value')} AS short FROM rights WHERE list_contains({c.arr(R.BAGGAGE_KEYS)}, right_key))
   WHERE regexp_matches(short, '^[0-9]{{3,}}kg$') GROUP BY ALL""")
-SQL["a12_falling_prices"] = b(f"""SELECT carrier, cabin, raw_brand_name, count(*) AS n, CAST(min(price-before) AS DOUBLE) AS deepest FROM (SELECT *, lag(price) OVER (PARTITION BY {L} ORDER BY
-   {base('cabin')} + {subrank(subtier('raw_brand_name'))}, raw_brand_name, price) AS before FROM ladders) WHERE price < before GROUP BY ALL""")
+SQL["a12_falling_prices"] = recursive(f"""SELECT carrier, cabin, shown_name, count(*) AS n, CAST(min(abs_price-before) AS DOUBLE) AS deepest FROM (SELECT *, lag(abs_price) OVER (PARTITION BY {L} ORDER BY
+   brand_order, shown_name, abs_price) AS before FROM published2 WHERE abs_price IS NOT NULL) WHERE abs_price < before GROUP BY ALL""", CONSENSUS)
 five = ["cabin_baggage", "checked_baggage", "meal", "seat_selection", "lounge_access"]
 SQL["a13_right_coverage"] = b(f"""SELECT carrier, right_key, have, units, units-have AS missing, units>=8 AND units>have AND have/units>=0.85 AS flagged FROM (
   SELECT carrier, right_key, count(*) FILTER (has) AS have, count(*) AS units FROM (SELECT {U}, group_cabin, k.right_key AS right_key, bool_or(r.right_key=k.right_key AND status<>'Unknown') AS has
@@ -51,9 +38,9 @@ SQL["a14_business_coverage"] = b(f"""SELECT carrier, count(*) AS units, count(*)
   FROM attempts WHERE NOT {c.low_cost('carrier')} GROUP BY ALL) GROUP BY ALL""")
 SQL["a15_refund_fee_spread"] = b(f"""SELECT CASE WHEN nf=0 THEN 'all' WHEN wf=0 THEN 'none' ELSE 'mixed' END AS spread, count(*) AS carriers, CAST(sum(wf) AS BIGINT) AS fees, CAST(sum(nf) AS BIGINT) AS no_fees FROM (
   SELECT carrier, count(*) FILTER ({c.fee_text('raw_value')}<>'') AS wf, count(*) FILTER ({c.fee_text('raw_value')}='') AS nf FROM rights WHERE right_key='refund' AND status='Paid' GROUP BY ALL) GROUP BY ALL""")
-SQL["a16_archive_rows"] = b("""SELECT season, count(*) AS record_count, string_agg(DISTINCT carrier, ',' ORDER BY carrier) AS airlines,
-  string_agg(DISTINCT origin || '-' || destination, ',' ORDER BY origin || '-' || destination) AS onds FROM ladders GROUP BY season""")
-SQL["a17_suspicious_names"] = b(f"""SELECT carrier, pretty_name, string_agg(DISTINCT origin || '-' || destination, ',' ORDER BY origin || '-' || destination) AS onds FROM (SELECT *, {pretty('raw_brand_name', 'carrier')} AS pretty_name FROM lines)
+C["collected"] = f"SELECT {U}, group_cabin AS cabin, raw_brand_name, CAST(DATE '2026-01-15' + pass_no AS DATE) AS coll_date, min(price_value) AS price FROM lines WHERE price_type='absolute' AND price_value IS NOT NULL GROUP BY ALL"
+SQL["a16_archive_rows"] = b("SELECT CAST(coll_date AS VARCHAR) AS coll_date, season, carrier, origin || '-' || destination AS ond, count(*) AS record_count FROM collected GROUP BY ALL")
+SQL["a17_suspicious_names"] = b(f"""SELECT carrier, pretty_name, origin || '-' || destination AS ond, count(*) AS n FROM (SELECT *, {pretty('raw_brand_name', 'carrier')} AS pretty_name FROM lines)
   WHERE NOT {c.bare('pretty_name')} AND NOT list_contains({c.arr(vocab.ACCEPTED_TOKENS)}, upper(pretty_name)) AND {c.suspicious('pretty_name', 'fare_family_code')} GROUP BY ALL""")
 C["reading"] = f"""SELECT {D}, side, list(raw_brand_name ORDER BY price_value, raw_brand_name) AS nm, list(price_value ORDER BY price_value, raw_brand_name) AS pr FROM sided GROUP BY ALL"""
 C["verdicts"] = f"""SELECT *, CASE WHEN sn = ln_ THEN CASE WHEN len(list_filter(range(1, len(sp)+1), lambda i: abs(sp[i]-lp[i])>0.01))>0 THEN 'OK_PRICE_DRIFT' ELSE 'OK' END
@@ -61,7 +48,11 @@ C["verdicts"] = f"""SELECT *, CASE WHEN sn = ln_ THEN CASE WHEN len(list_filter(
     len(list_intersect(sn, ln_))*2 >= least(len(sn), len(ln_))) AS rot FROM (SELECT s.* EXCLUDE (nm, pr, side), s.nm AS sn, s.pr AS sp, coalesce(l.nm, []) AS ln_, l.pr AS lp, l.nm IS NOT NULL AS has_live
    FROM (SELECT * FROM reading WHERE side='primary') s LEFT JOIN (SELECT * FROM reading WHERE side='secondary') l USING ({D})))"""
 SQL["j23_compare_readings"] = b(f"SELECT {U}, CAST(departure AS VARCHAR) AS departure, group_cabin, verdict FROM verdicts")
-SQL["a18_verification_gate"] = b("SELECT verdict, count(*) AS ladders, verdict='NAME_MISMATCH' AS blocks FROM verdicts GROUP BY ALL")
+C["code_names"] = f"""SELECT DISTINCT carrier, pretty_name FROM (SELECT *, {pretty('raw_brand_name', 'carrier')} AS pretty_name FROM lines)
+  WHERE NOT {c.bare('pretty_name')} AND NOT list_contains({c.arr(vocab.ACCEPTED_TOKENS)}, upper(pretty_name)) AND {c.suspicious('pretty_name', 'fare_family_code')}"""
+C["gate_rows"] = """SELECT verdict AS "check", count(*) AS found, verdict='NAME_MISMATCH' AS blocks FROM verdicts GROUP BY ALL
+  UNION ALL SELECT 'suspicious_names', count(*), count(*) > 0 FROM code_names"""
+SQL["a18_verification_gate"] = b("""SELECT * FROM gate_rows UNION ALL SELECT 'gate', (SELECT count(*) FROM verdicts), (SELECT bool_or(blocks) FROM gate_rows)""")
 SQL["x5_rotated_inventory"] = b("SELECT carrier, rot AS rotated, count(*) AS n FROM verdicts WHERE has_live GROUP BY ALL")
 SQL["a19_publish_gate"] = b("""SELECT carrier, outcomes, good, NOT (outcomes>20 AND good*100//outcomes<25) AS may_continue FROM (SELECT carrier, count(*) AS outcomes,
   count(*) FILTER (final_status='success') AS good FROM judged_units GROUP BY ALL)""")
@@ -73,4 +64,4 @@ SQL["a33_without_rights"] = b(f"""SELECT carrier, raw_brand_name, count(*) AS n
 SQL["a35_unit_sources"] = b(f"SELECT {U}, string_agg(DISTINCT source, ',' ORDER BY source) AS sources, count(*) AS total_brands FROM results GROUP BY {U}")
 SQL["p15_reported_rights"] = b("SELECT right_key, count(*) AS reported FROM rights WHERE status<>'Unknown' GROUP BY ALL")
 falls = SQL["a12_falling_prices"]
-SQL["o2_first_findings"] = f"WITH q AS ({falls}) SELECT carrier, cabin, raw_brand_name, n, greatest((SELECT count(*) FROM q) - 15, 0) AS and_more FROM q ORDER BY carrier, cabin, raw_brand_name LIMIT 15"
+SQL["o2_first_findings"] = f"WITH q AS ({falls}) SELECT carrier, cabin, shown_name, n, greatest((SELECT count(*) FROM q) - 15, 0) AS and_more FROM q ORDER BY carrier, cabin, shown_name LIMIT 15"

@@ -170,7 +170,7 @@ def u2_ranked_rows(spark, sf):
 
 @query
 def j10_season_pair_preferences(spark, sf):
-    ev = consensus.season_evidence(gold.published(spark, sf))
+    ev = gold.order_evidence(spark, sf, gold.unit_brands(spark, sf))
     return consensus.pair_preferences(ev).select(
         *consensus.ROUTE, "first_key", "second_key", F.col("gap").cast("double").alias("gap"))
 

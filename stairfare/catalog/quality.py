@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from ..functions import names, rights as rightfn
 from ..operators import ladder, quality
-from ..plans import gold
+from ..plans import archive, gold
 from ..rules import rights as R, vocab
 from ..sources import bridge
+from ..sources.tables import scratch
 from .choosing import SIDED, sides
 from .ladders import L
 from .registry import query
@@ -104,12 +105,11 @@ def falling_steps(df, keys, order, price):
 
 @query
 def a12_falling_prices(spark, sf):
-    """Steps where a higher tier costs less, judged by name order."""
-    df = bridge.ladders(spark, sf)
-    df = df.withColumn("name_rank", names.name_rank(F.col("raw_brand_name"), F.col("cabin")))
-    bad = falling_steps(df, L, ["name_rank", "raw_brand_name", "price"], "price")
-    return bad.groupBy("carrier", "cabin", "raw_brand_name").agg(
-        F.count("*").alias("n"), F.min(F.col("price") - F.col("before")).cast("double").alias("deepest"))
+    """Steps of published ladders where a higher tier costs less; rows without a price are passed over."""
+    df = gold.published_with_consensus(spark, sf).where("abs_price is not null")
+    bad = falling_steps(df, L, ["brand_order", "shown_name", "abs_price"], "abs_price")
+    return bad.groupBy("carrier", "cabin", "shown_name").agg(
+        F.count("*").alias("n"), F.min(F.col("abs_price") - F.col("before")).cast("double").alias("deepest"))
 
 
 @query
@@ -149,20 +149,23 @@ def a15_refund_fee_spread(spark, sf):
 
 @query
 def a16_archive_rows(spark, sf):
-    """One archive row per season; carriers and routes are made distinct before they are listed."""
-    df = bridge.ladders(spark, sf)
-    count = df.groupBy("season").agg(F.count("*").alias("record_count"))
-    parts = df.select("season", "carrier", F.concat_ws("-", "origin", "destination").alias("ond")).distinct()
-    lists = parts.groupBy("season").agg(F.array_join(F.sort_array(F.collect_set("carrier")), ",").alias("airlines"),
-                                        F.array_join(F.sort_array(F.collect_set("ond")), ",").alias("onds"))
-    return count.join(lists, "season")
+    """Fares kept by collection day; the second day is collected again and replaces its own rows only.
+
+    A row per day, season, carrier and route, so no list grows with the network.
+    """
+    path = scratch(spark, "archive")
+    fares = archive.collected_fares(spark, sf)
+    archive.replace_days(fares, path)
+    archive.replace_days(fares.where(F.col("coll_date") == F.date_add(F.lit(bridge.FIRST_DAY).cast("date"), 1)), path)
+    kept = archive.read_days(spark, path, fares.schema)
+    return kept.groupBy(F.col("coll_date").cast("string").alias("coll_date"), "season", "carrier", F.concat_ws("-", "origin", "destination").alias("ond")) \
+        .agg(F.count("*").alias("record_count"))
 
 
 @query
 def a17_suspicious_names(spark, sf):
     df = quality.suspicious(names.with_pretty_name(bridge.lines(spark, sf)), vocab.ACCEPTED_TOKENS)
-    d = df.select("carrier", "pretty_name", F.concat_ws("-", "origin", "destination").alias("ond")).distinct()
-    return d.groupBy("carrier", "pretty_name").agg(F.array_join(F.sort_array(F.collect_set("ond")), ",").alias("onds"))
+    return df.groupBy("carrier", "pretty_name", F.concat_ws("-", "origin", "destination").alias("ond")).agg(F.count("*").alias("n"))
 
 
 def verdicts(spark, sf):
@@ -177,9 +180,10 @@ def j23_compare_readings(spark, sf):
 
 @query
 def a18_verification_gate(spark, sf):
-    v = verdicts(spark, sf).groupBy("verdict").agg(F.count("*").alias("ladders"))
-    bad = F.col("verdict") == "NAME_MISMATCH"
-    return v.withColumn("blocks", bad)
+    """Each verdict, the suspicious names, and the gate: shut if a name mismatches or looks like a code."""
+    v = verdicts(spark, sf).groupBy(F.col("verdict").alias("check")).agg(F.count("*").alias("found"))
+    names_ = a17_suspicious_names(spark, sf).select("carrier", "pretty_name").distinct().agg(F.count("*").alias("found"))
+    return quality.gate(v, names_)
 
 
 @query
@@ -245,5 +249,5 @@ def first_findings(bad, order, first=15):
 
 @query
 def o2_first_findings(spark, sf):
-    bad = a12_falling_prices(spark, sf).select("carrier", "cabin", "raw_brand_name", "n")
-    return first_findings(bad, ["carrier", "cabin", "raw_brand_name"])
+    bad = a12_falling_prices(spark, sf).select("carrier", "cabin", "shown_name", "n")
+    return first_findings(bad, ["carrier", "cabin", "shown_name"])

@@ -11,12 +11,15 @@ from ..functions.names import match_key
 ROUTE = ["carrier", "origin", "destination", "cabin"]
 
 
-def season_evidence(published: DataFrame, price="abs_price", slot="slot") -> DataFrame:
+def season_evidence(published: DataFrame, successful: DataFrame | None = None, price="abs_price", slot="slot") -> DataFrame:
     """One row per route, cabin and family key: place and price in either season.
 
     The first occurrence of a key in a ladder counts.  Pre-aggregated, so a family seen in any
-    number of rows arrives as one.
+    number of rows arrives as one.  With ``successful`` (keys of records, a row each) only the ladders of these
+    records say anything about the order.
     """
+    if successful is not None:
+        published = published.join(successful, successful.columns, "left_semi")
     df = published.withColumn("k", match_key(F.col("pretty_name"))).where(F.col("k") != "")
     first = lambda s: F.min(F.when(F.col("season") == s, F.struct(
         F.col(slot).alias("at"), F.col(price).alias("price"))))

@@ -84,6 +84,20 @@ def compare_readings(stored: DataFrame, live: DataFrame, keys) -> DataFrame:
     return j.withColumn("verdict", verdict)
 
 
+def gate(verdicts: DataFrame, suspicious_names: DataFrame) -> DataFrame:
+    """``check, found, blocks``: a row per verdict, one for suspicious names, and the gate over all of them.
+
+    ``verdicts`` has a row per verdict (``check, found``), ``suspicious_names`` one row with their number.  The gate's
+    ``found`` are the ladders looked at; any mismatch and any suspicious name shuts it.
+    """
+    v = verdicts.withColumn("blocks", F.col("check") == "NAME_MISMATCH")
+    s = suspicious_names.select(F.lit("suspicious_names").alias("check"), "found", (F.col("found") > 0).alias("blocks"))
+    rows = v.unionByName(s)
+    whole = rows.agg(F.lit("gate").alias("check"), F.coalesce(F.sum(F.when(F.col("check") != "suspicious_names", F.col("found"))), F.lit(0)).alias("found"),
+                     F.coalesce(F.max("blocks"), F.lit(False)).alias("blocks"))
+    return rows.unionByName(whole)
+
+
 def fingerprint(df: DataFrame, keys, *columns) -> DataFrame:
     """Order-free fingerprint of a reading: row count, xor and bounded sum of row hashes.
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import names
-from ..operators import consensus, ladder
+from ..operators import consensus, ladder, quality
 from ..sources import bridge
 
 UNIT = bridge.UNIT
@@ -46,11 +46,23 @@ def published(spark, sf_dir) -> DataFrame:
     return ladder.publish(unit_brands(spark, sf_dir), UNIT)
 
 
+def successful_records(spark, sf_dir) -> DataFrame:
+    """Unit and pass of records collected without an issue by some attempt; partial ones are not among them."""
+    judged = quality.with_completeness(bridge.attempts(spark, sf_dir)).withColumn("final_status", quality.final_status())
+    return judged.where("final_status = 'success'").select(*UNIT, "pass_no").distinct()
+
+
+def order_evidence(spark, sf_dir, brands: DataFrame) -> DataFrame:
+    """What the published ladders of successful records say about the order of families."""
+    return consensus.season_evidence(ladder.publish(brands, UNIT), successful_records(spark, sf_dir))
+
+
 def published_with_consensus(spark, sf_dir) -> DataFrame:
     """Published ladders with the order repaired by the other season's evidence.
 
-    The brand rows feed both the evidence and the final ranking.
+    The brand rows feed both the evidence and the final ranking; every ladder is published, but only
+    successful records are evidence.
     """
     brands = unit_brands(spark, sf_dir)
-    evidence = consensus.season_evidence(ladder.publish(brands, UNIT))
+    evidence = order_evidence(spark, sf_dir, brands)
     return ladder.publish(brands, UNIT, consensus.reorder_by(evidence, UNIT))

@@ -24,6 +24,8 @@ STATUSES = ["Included", "Paid", "Not Included", "Unknown"]
 OPERATORS = ["Turkish Airlines", "Aegean Airlines", "All Nippon Airways", "SWISS", "China Air",
              "Wizz Air", "Blue Sky Jet", "", "Royal Etihad Airways Group"]
 
+#: Day on which the first pass is collected; each pass takes a day.
+FIRST_DAY = "2026-01-15"
 UNIT = ["carrier", "origin", "destination", "season"]
 FLIGHT = ["flight_id", "season", "group_cabin"]
 

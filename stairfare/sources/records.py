@@ -102,11 +102,7 @@ def overlay(disk: DataFrame, new: DataFrame) -> DataFrame:
     return ladder.first_group(both, ["unit_key"], [F.col("_batch").desc()]).drop("_batch")
 
 
-def read_passes(spark: SparkSession, *paths) -> DataFrame:
-    """Several passes as one table, with the place of the path as pass order."""
-    order = F.lit(-1)
-    df = read_records(spark, *paths)
-    file = F.col("_metadata.file_path")
-    for i, p in enumerate(paths):
-        order = F.when(file.contains(p.rstrip("/") + "/"), i).otherwise(order)
-    return df.withColumn("pass_order", order)
+def read_passes(spark: SparkSession, base: str) -> DataFrame:
+    """All passes under ``base`` as one table, ``pass_order`` from the folder ``pass_no=N`` of each file."""
+    df = read_records(spark, base).drop("pass_no")
+    return df.withColumn("pass_order", F.regexp_extract(F.col("_metadata.file_path"), r"/pass_no=(\d+)/", 1).cast("int"))
