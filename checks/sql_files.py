@@ -66,3 +66,11 @@ SQL["s20_search_page_json"] = b(f"""SELECT row_carrier, raw_brand_name, currency
   FROM boxes JOIN (SELECT DISTINCT {FL}, raw_brand_name AS card, line FROM rule_lines) USING ({FL}, card) GROUP BY ALL)))""")
 SQL["s21_verification_report"] = b("""SELECT carrier, season, verdict, CASE WHEN season='Summer' AND verdict LIKE 'OK%' THEN 'prior' ELSE 'now' END AS origin_of_row, count(*) AS n FROM verdicts GROUP BY ALL""")
 SQL["u3_rule_line_rows"] = b(r"""SELECT line, n, lower(regexp_extract(m, '^([\p{L}]*)', 1)) AS fact, regexp_extract(m, '(\d+)$', 1) AS value FROM (SELECT line, n, unnest(regexp_extract_all(line, '[\p{L}]*[^\p{L}\d]*?\d+')) AS m FROM (SELECT line, count(*) AS n FROM rule_lines GROUP BY ALL))""")
+C["penalty_counts"] = "SELECT supp_no%6 AS form, qty, count(*) AS n FROM raw_lines GROUP BY ALL"
+C["penalty_facts"] = """SELECT n, unnest(CASE form
+  WHEN 0 THEN [['date_change','before',q],['date_change','after',more]] WHEN 1 THEN [['date_change','before',q],['refund','before','Not Included']]
+  WHEN 2 THEN [['refund','before','Included'],['refund','after','Not Included'],['date_change','before',q],['date_change','after',q]]
+  WHEN 3 THEN [['refund','after',more],['date_change','after',q]]
+  WHEN 4 THEN [['refund','before','Not Included'],['refund','after','Not Included'],['date_change','before','Included'],['date_change','after',q]] ELSE [] END) AS f
+  FROM (SELECT form, n, CAST(qty AS VARCHAR) AS q, CAST(qty+40 AS VARCHAR) AS more FROM penalty_counts)"""
+SQL["u3_penalty_rows"] = b("SELECT f[1] AS topic, f[2] AS phase, f[3] AS outcome, count(*) AS lines, CAST(sum(n) AS BIGINT) AS n FROM penalty_facts GROUP BY ALL")

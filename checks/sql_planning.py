@@ -118,6 +118,6 @@ SQL["j15_attach_by_price"] = b(f"""SELECT carrier, coalesce(bn, raw_brand_name)
 SQL["a20_route_census"] = b("""SELECT code, count(*) AS in_segments, max(coalesce(p,0)) AS with_packages FROM (SELECT m1 AS code FROM itineraries UNION ALL SELECT m2 FROM itineraries WHERE m2 IS NOT NULL)
   LEFT JOIN (SELECT m1 AS code, count(*) AS p FROM itineraries WHERE flight_id IN (SELECT flight_id FROM raw_lines) GROUP BY ALL) USING (code) GROUP BY ALL""")
 SQL["o5_most_common"] = SQL["a20_route_census"]
-SQL["u1_adapter_registry"] = b("""SELECT source, CAST(CASE source WHEN 'direct' THEN 1 WHEN 'market' THEN 2 ELSE 3 END AS INT) AS priority, CASE WHEN source='market' THEN 'USD' ELSE currency END AS currency, count(*) AS n,
-  CAST(sum(CASE WHEN source='market' AND currency='TRY' THEN CAST(round(price_value * CAST('0.0243' AS DECIMAL(5,4)), 2) AS DECIMAL(14,2)) ELSE price_value END) AS DOUBLE) AS total
-  FROM lines WHERE CASE source WHEN 'direct' THEN carrier IN ('TK','LH','AC') WHEN 'search' THEN price_value IS NOT NULL ELSE TRUE END GROUP BY ALL""")
+SQL["u1_adapter_registry"] = b("""SELECT source, CAST(CASE source WHEN 'direct' THEN 1 WHEN 'market' THEN 2 ELSE 3 END AS INT) AS priority, CASE WHEN source='market' THEN 'USD' ELSE currency END AS currency,
+  CASE source WHEN 'direct' THEN carrier IN ('TK','LH','AC') WHEN 'search' THEN price_value IS NOT NULL ELSE TRUE END AS served, count(*) AS n,
+  CAST(sum(CASE WHEN source='market' AND currency='TRY' THEN CAST(round(price_value * CAST('0.0243' AS DECIMAL(5,4)), 2) AS DECIMAL(14,2)) ELSE price_value END) AS DOUBLE) AS total FROM lines GROUP BY ALL""")

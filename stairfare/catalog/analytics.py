@@ -4,8 +4,10 @@ from pyspark.sql import Window, functions as F
 
 from ..functions import names
 from ..operators import geography, ladder, matching
-from ..sources import bridge
+from ..plans import archive
 from ..rules import rights as R
+from ..sources import bridge
+from ..sources.tables import scratch
 from .ladders import L, route_ladders
 from .registry import query
 
@@ -68,13 +70,6 @@ def a24_package_index(spark, sf):
     return df.groupBy("origin", "destination", "season", "tier", "carrier").agg(F.min("price").cast("double").alias("price"))
 
 
-@query
-def a25_fee_heatmap(spark, sf):
-    """Mean fee of each tier step by carrier; all steps, a row each."""
-    return step_rows(spark, sf).groupBy("carrier", "step").agg(
-        (F.sum("fee").cast("double") / F.count("fee")).alias("mean_fee"), F.count("*").alias("units"))
-
-
 def tier_rights(spark, sf):
     """Granted rights (Included or Paid) and content score of each route ladder's families.
 
@@ -91,17 +86,35 @@ def tier_rights(spark, sf):
     return route_ladders(spark, sf).join(per, L + ["raw_brand_name"])
 
 
-@query
-def a26_rights_gained(spark, sf):
-    """Rights each step adds; a right that can be bought counts as gained."""
+def tier_steps(spark, sf):
+    """Each step of a route ladder with its fee, the rights it adds and the change of the content score.
+
+    A right that can be bought counts as gained.
+    """
     w = Window.partitionBy(*L).orderBy("brand_order")
     t = tier_rights(spark, sf).withColumns({
-        "upper": F.lead("granted").over(w), "upper_score": F.lead("score").over(w),
+        "upper": F.lead("granted").over(w), "upper_score": F.lead("score").over(w), "upper_price": F.lead("price").over(w),
         "to_order": F.lead("brand_order").over(w)}).where("to_order is not null")
-    gained = F.bit_count(F.col("upper").bitwiseAND(F.bitwise_not("granted")))
-    return t.groupBy("carrier", "cabin", "brand_order", "to_order").agg(
-        F.count("*").alias("units"), F.sum(gained).alias("gained"),
-        F.sum(F.col("upper_score") - F.col("score")).alias("score_change"))
+    return t.select(*L, "brand_order", "to_order", F.concat_ws("-", F.col("brand_order") + 1, F.col("to_order") + 1).alias("step"),
+                    (F.col("upper_price") - F.col("price")).cast("decimal(14,2)").alias("fee"),
+                    F.bit_count(F.col("upper").bitwiseAND(F.bitwise_not("granted"))).alias("gained"),
+                    (F.col("upper_score") - F.col("score")).alias("score_change"))
+
+
+@query
+def a25_fee_heatmap(spark, sf):
+    """Carriers against tier steps under three metrics: mean fee, mean rights gained, mean change of score."""
+    per = tier_steps(spark, sf).groupBy("carrier", "step").agg(
+        F.count("*").alias("units"), mean("fee", "fee"), (F.sum("gained") / F.count("*")).alias("rights_gained"),
+        (F.sum("score_change") / F.count("*")).alias("score_change"))
+    return per.unpivot(["carrier", "step", "units"], ["fee", "rights_gained", "score_change"], "metric", "value")
+
+
+@query
+def a26_rights_gained(spark, sf):
+    """Rights each step adds; a right that can be bought counts as gained."""
+    return tier_steps(spark, sf).groupBy("carrier", "cabin", "brand_order", "to_order").agg(
+        F.count("*").alias("units"), F.sum("gained").alias("gained"), F.sum("score_change").alias("score_change"))
 
 
 @query
@@ -189,19 +202,37 @@ def p16_export_filters(spark, sf, season="Summer", missing="meal"):
                                                     F.countDistinct("flight_id").alias("ladders"))
 
 
-def filter_bar(df, carriers=None, cabins=None, routes=None, seasons=None, regions=None, days=None):
-    """The common filters of every view; an absent one lets everything through."""
+def filter_bar(df, carriers=None, cabins=None, routes=None, seasons=None, regions=None, days=None, collected=None):
+    """The common filters of every view; an absent one lets everything through.
+
+    ``days`` bounds the departure, ``collected`` the collection day.
+    """
     for col, wanted in (("carrier", carriers), ("cabin", cabins), ("ond", routes), ("season", seasons),
                         ("origin_region", regions)):
         if wanted:
             df = df.where(F.col(col).isin(list(wanted)))
-    if days:
-        df = df.where(F.col("departure").between(*[F.lit(d).cast("date") for d in days]))
+    for col, span in (("departure", days), ("coll_date", collected)):
+        if span:
+            df = df.where(F.col(col).between(*[F.lit(d).cast("date") for d in span]))
     return df
 
 
 @query
 def p17_filter_bar(spark, sf):
+    """All filters at once over the archive; of its days only the chosen ones are read."""
+    path = scratch(spark, "archive")
+    fares = archive.collected_fares(spark, sf)
+    archive.replace_days(fares, path)
+    kept = archive.read_days(spark, path, fares.schema)
+    df = geography.with_places(kept).withColumn("ond", F.concat_ws("-", "origin", "destination"))
+    df = filter_bar(df, carriers=["TK", "LH", "AC"], cabins=["Economy", "Business"], seasons=["Summer"],
+                    regions=["Europe", "Turkey"], collected=("2026-01-16", "2026-01-17"))
+    return df.groupBy(F.col("coll_date").cast("string").alias("coll_date"), "carrier", "cabin", "ond").agg(
+        F.count("*").alias("n"), F.sum("price").cast("double").alias("total"))
+
+
+@query
+def p17_departure_filter(spark, sf):
     df = geography.with_places(bridge.lines(spark, sf)).withColumn("ond", F.concat_ws("-", "origin", "destination")) \
         .withColumnRenamed("group_cabin", "cabin")
     df = filter_bar(df, carriers=["TK", "LH", "AC"], cabins=["Economy", "Business"], seasons=["Summer"],

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import names, rights as rightfn
+from ..functions import generators, names, rights as rightfn
 from ..operators import geography, identity, matching
 from ..plans import export, gold
 from ..rules import rights as R
@@ -296,10 +296,14 @@ def s21_verification_report(spark, sf):
 
 @query
 def u3_rule_line_rows(spark, sf):
-    """Row-generating function over panel lines, for forms a pattern cannot express.
-
-    The generator runs on distinct texts; their counts ride along.
-    """
-    from ..functions.generators import line_facts
+    """Every number of a panel line as a row of its own; distinct lines are read once, their counts ride along."""
     df = bridge.rule_lines(spark, sf).groupBy("line").agg(F.count("*").alias("n"))
-    return df.lateralJoin(line_facts(F.col("line").outer())).select("line", "n", "fact", "value")
+    return df.select("line", "n", F.inline(generators.number_facts(F.col("line"))))
+
+
+@query
+def u3_penalty_rows(spark, sf):
+    """Fees before and after departure, which depend on what a line said earlier."""
+    df = bridge.penalty_lines(spark, sf).groupBy("line").agg(F.count("*").alias("n"))
+    facts = generators.penalty_facts(df.asTable())
+    return facts.groupBy("topic", "phase", "outcome").agg(F.count("*").alias("lines"), F.sum("n").alias("n"))

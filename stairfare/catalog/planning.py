@@ -336,5 +336,5 @@ def u1_adapter_registry(spark, sf):
     """Each source's adapter normalises its own rows; priorities come from the registry."""
     from ..sources.adapters import normalized
     df = normalized(bridge.lines(spark, sf))
-    return df.groupBy("source", "priority", "currency").agg(
+    return df.groupBy("source", "priority", "currency", "served").agg(
         F.count("*").alias("n"), F.sum("price_value").cast("double").alias("total"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import names
 from . import ladder
+from .ranking import numbered
 
 
 def in_search(df: DataFrame, group="group_cabin") -> DataFrame:
@@ -66,18 +67,6 @@ def dedicated_over_leak(picks: DataFrame, unit) -> DataFrame:
 
 
 def split_in_halves(df: DataFrame, first="origin", second="destination") -> DataFrame:
-    """Distinct routes in two halves by code order.
-
-    The rank of a route is the count of routes with a smaller origin plus its rank inside the
-    origin, so no task sees more than one origin's routes.
-    """
-    from pyspark.sql import Window
-    routes = df.select(first, second).distinct()
-    per = routes.groupBy(first).agg(F.count("*").alias("routes"))
-    order = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
-    offset = per.withColumn("before", F.coalesce(F.sum("routes").over(order), F.lit(0))) \
-        .withColumn("total", F.sum("routes").over(Window.partitionBy()))
-    rn = F.row_number().over(Window.partitionBy(first).orderBy(second))
-    return routes.withColumn("rn", rn).join(offset, first).withColumn(
-        "half", F.when(F.col("before") + F.col("rn") <= F.floor(F.col("total") / 2), "A").otherwise("B")) \
-        .select(first, second, "half")
+    """Distinct routes in two halves by code order; of an odd number the second half has one more."""
+    routes, total = numbered(df.select(first, second).distinct(), [first, second])
+    return routes.select(first, second, F.when(F.col("place") <= total // 2, "A").otherwise("B").alias("half"))

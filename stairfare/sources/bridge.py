@@ -174,6 +174,21 @@ def rule_lines(spark, sf_dir) -> DataFrame:
         *FLIGHT, "raw_brand_name", "screen_order", out.alias("line")))
 
 
+def penalty_lines(spark, sf_dir) -> DataFrame:
+    """Panel lines about changes and refunds before and after departure, one per order line, in six wordings."""
+    q, more = F.col("qty").cast("string"), (F.col("qty") + 40).cast("string")
+    form, j = F.col("supp_no") % 6, F.concat
+    texts = [
+        j(F.lit("Change: before departure "), q, F.lit(" USD, after departure "), more, F.lit(" USD")),
+        j(F.lit("Before departure: change "), q, F.lit(" USD / refund not permitted")),
+        j(F.lit("Refund before departure free / after departure not allowed; change "), q, F.lit(" EUR")),
+        j(F.lit("After departure cancellation "), more, F.lit(" USD and reissue "), q, F.lit(" USD")),
+        j(F.lit("Non refundable; change free before departure, after "), q),
+        j(F.lit("Meal included; lounge "), q)]
+    text = F.coalesce(*[F.when(form == i, t) for i, t in enumerate(texts)])
+    return with_itinerary(raw_lines(spark, sf_dir).select(*FLIGHT, "raw_brand_name", "screen_order", text.alias("line")))
+
+
 def itineraries(spark, sf_dir) -> DataFrame:
     """One row per itinerary, with what the result row says about it."""
     df = with_itinerary(table(spark, sf_dir, "customer").select(
