@@ -39,6 +39,10 @@ C["known_rights"] = f"""SELECT * FROM rights WHERE status<>'Unknown' QUALIFY row
 SQL["s11_feed_json"] = b(f"""SELECT carrier, season, CASE WHEN origin_country_code='TR' OR dest_country_code='TR' THEN 'Local' ELSE 'Beyond' END AS ond_type, CASE WHEN {c.low_cost('carrier')} THEN 'Low Cost' ELSE 'Legacy' END AS carrier_type,
   feature, state, detail, count(*) AS n, CAST(sum(CASE WHEN currency='USD' THEN coalesce(abs_price, price_value) END) AS DOUBLE) AS price_total FROM published_places JOIN (SELECT {FL}, raw_brand_name,
    {c.mapping('right_key', R.FEED_KEYS.items())} AS feature, status AS state, {c.short_detail('right_key', 'raw_value', 'status')} AS detail FROM known_rights) USING ({FL}, raw_brand_name) GROUP BY ALL""")
+C["feed_keys"] = f"SELECT DISTINCT {c.mapping('right_key', R.FEED_KEYS.items())} AS feature FROM known_rights JOIN published USING ({FL}, raw_brand_name)"
+SQL["s11_feed_envelope"] = b("""SELECT '2026-01-15T00:00:00' AS generated_at, (SELECT count(*) FROM published) AS count, (SELECT string_agg(feature, ',' ORDER BY feature) FROM feed_keys) AS features, 'v12_' || season AS run_id,
+  '2026-01' AS coll_date, season AS coll_season, '2026-01-15T00:00:00' AS collected_at, string_agg(DISTINCT carrier, ',' ORDER BY carrier) AS airlines,
+  string_agg(DISTINCT origin || '-' || destination, ',' ORDER BY origin || '-' || destination) AS onds, count(*) AS record_count, 'OK' AS status FROM published GROUP BY season""")
 SQL["s16_filtered_tsv"] = b(f"SELECT {L}, raw_brand_name, CAST(price AS VARCHAR) AS price FROM ladders WHERE carrier IN ('TK','LH') AND season='Winter'")
 txt = "(desc0 || '  ' || tip)"
 C["market_items"] = f"""SELECT carrier, raw_brand_name, price_value, right_key AS nm, st, raw_value AS desc0, CASE WHEN st='Paid' THEN 'Kesintili' ELSE '' END AS tip,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import generators, names, rights as rightfn
 from ..operators import geography, identity, matching
-from ..plans import export, gold
+from ..plans import export, feed, gold
 from ..rules import rights as R
 from ..sources import bridge, payloads, records
 from ..sources.tables import scratch
@@ -166,26 +166,51 @@ def s10_run_summary_json(spark, sf):
     return spark.read.schema(df.schema).json(path)
 
 
-@query
-def s11_feed_json(spark, sf):
-    """Dashboard feed as JSON lines with a feature map; read back and unfolded."""
+STAMP = "2026-01-15T00:00:00"
+
+
+def feed_document(spark, sf):
+    """Writes the feed and reads it back: (head, fares, runs)."""
     path = scratch(spark, "feed")
     key = FL + ["card_name"]
-    feats = export.feature_map(key, card_rights(spark, sf, later_wins=False, drop_unknown=True))
+    feats = export.feature_map(key, card_rights(spark, sf, later_wins=False))
     df = published_fares(spark, sf).join(feats, key, "left")
     usd = F.when(F.upper("currency") == "USD", F.coalesce("abs_price", "price_value"))
-    feed = df.select(
-        "carrier", "origin", "destination", "season", "cabin", F.col("pretty_name").alias("fare_brand"),
+    fares = df.select(
+        F.date_format(F.date_add(F.lit(bridge.FIRST_DAY).cast("date"), F.col("pass_no")), "yyyy-MM").alias("coll_date"),
+        F.col("season").alias("coll_season"), F.col("departure").cast("string").alias("query_date"), F.col("carrier").alias("airline"),
+        "origin", "destination", "season", "cabin", F.col("pretty_name").alias("fare_brand"),
         F.col("tier_code").alias("std_tier"), (F.col("brand_order") + 1).alias("package_order"),
         geography.route_type().alias("ond_type"), geography.carrier_type().alias("carrier_type"),
-        F.coalesce("abs_price", "price_value").alias("price"), usd.alias("price_usd"), "features")
-    feed.write.partitionBy("season").json(path)
-    back = spark.read.schema(feed.schema).json(path)
-    flat = back.select("carrier", "season", "ond_type", "carrier_type", "price_usd", F.explode("features").alias("feature", "f"))
-    return flat.groupBy("carrier", "season", "ond_type", "carrier_type", "feature", "f.state", "f.detail").agg(
+        F.coalesce("abs_price", "price_value").alias("price"), usd.alias("price_usd"), "source", "features")
+    folder = scratch(spark, "feed-fares")
+    fares.write.parquet(folder)
+    fares = feed.prune_features(spark.read.schema(fares.schema).parquet(folder))
+    runs = feed.run_rows(fares, "v12", STAMP)
+    feed.write_feed(fares, runs, path, STAMP, ["airline", "origin", "destination", "season", "cabin", "package_order", "fare_brand"])
+    return feed.read_feed(spark, path, fares.schema, runs.schema)
+
+
+@query
+def s11_feed_json(spark, sf):
+    """The feed's fares read back and unfolded: every stated feature of every fare."""
+    _, fares, _ = feed_document(spark, sf)
+    flat = fares.select(F.col("airline").alias("carrier"), "season", "ond_type", "carrier_type", "price_usd", F.explode("features").alias("feature", "f"))
+    return flat.where("f.state is not null").groupBy("carrier", "season", "ond_type", "carrier_type", "feature", "f.state", "f.detail").agg(
         F.count("*").alias("n"), F.sum("price_usd").cast("double").alias("price_total"))
 
 
+@query
+def s11_feed_envelope(spark, sf):
+    """The envelope read back: count and runs, and which features the fares still have a place for."""
+    head, fares, runs = feed_document(spark, sf)
+    kept = fares.select(F.explode(F.map_keys("features")).alias("key")).distinct().agg(F.array_join(F.sort_array(F.collect_set("key")), ",").alias("features"))
+    one = head.join(kept, F.lit(True))
+    return runs.join(F.broadcast(one), F.lit(True)).select(
+        "generated_at", "count", "features", "run_id", "coll_date", "coll_season", "collected_at", F.array_join("airlines", ",").alias("airlines"),
+        F.array_join("onds", ",").alias("onds"), "record_count", "status")
+
+
 @query
 def s16_filtered_tsv(spark, sf):
     from .analytics import filter_bar

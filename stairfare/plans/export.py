@@ -27,11 +27,11 @@ def drop_unreported(wide: DataFrame) -> DataFrame:
 
 
 def feature_map(keys, rights: DataFrame) -> DataFrame:
-    """features: map<feed key, struct(state, detail)> per key (at most sixteen entries)."""
+    """features: map<feed key, struct(state, detail)> per key (at most sixteen entries); an Unknown right has no state."""
     from ..functions.names import literal_map
     from ..functions.rights import short_detail
     feed = F.element_at(literal_map(R.FEED_KEYS.items()), F.col("right_key"))
     entry = F.struct(feed.alias("key"), F.struct(
-        F.col("status").alias("state"),
+        F.when(F.col("status") != "Unknown", F.col("status")).alias("state"),
         short_detail(F.col("right_key"), F.col("raw_value"), F.col("status")).alias("detail")).alias("value"))
     return rights.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("features"))

@@ -1,8 +1,12 @@
 """Payload queries on small literal cards."""
 
+import json
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from stairfare.catalog import files
+from stairfare.plans import archive, feed
 
 
 def test_search_page_keeps_unpriced_cards_and_judges_by_the_searched_cabin(spark, monkeypatch):
@@ -15,3 +19,40 @@ def test_search_page_keeps_unpriced_cards_and_judges_by_the_searched_cabin(spark
     monkeypatch.setattr(files.bridge, "rule_lines", lambda *_: lines)
     got = {r.raw_brand_name: (r.currency, r.n, r.total) for r in files.s20_search_page_json(spark, "").collect()}
     assert got == {"Light": ("USD", 1, 329.08), "Flex": ("USD", 1, 319.08)}  # an economy box in a business search is noise
+
+
+def test_feed_is_one_document_without_features_nobody_states(spark, tmp_path):
+    feature = "map<string,struct<state:string,detail:string>>"
+    fares = spark.createDataFrame(
+        [("TK", "IST", f"A{i:02d}", "Summer" if i % 3 else "Winter", "2026-01", i, {"meal": ("Included", "a,\"ü\""), "lounge": (None, "")} if i % 2 else {"lounge": (None, "")})
+         for i in range(30)], f"airline string, origin string, destination string, coll_season string, coll_date string, price long, features {feature}")
+    pruned = feed.prune_features(fares)
+    runs = feed.run_rows(pruned, "v1", "2026-01-15T00:00:00")
+    feed.write_feed(pruned, runs, str(tmp_path / "feed"), "2026-01-15T00:00:00", ["destination"])
+    text = "".join(f.read_text() for part in feed.PARTS for f in sorted((tmp_path / "feed" / part).glob("*.txt")))
+    document = json.loads(text)
+    assert (document["generated_at"], document["count"], len(document["fares"])) == ("2026-01-15T00:00:00", 30, 30)
+    assert [f["destination"] for f in document["fares"]] == [f"A{i:02d}" for i in range(30)]
+    assert {k for f in document["fares"] for k in f["features"]} == {"meal"} and document["fares"][1]["features"]["meal"]["detail"] == "a,\"ü\""
+    assert [(r["run_id"], r["record_count"], r["airlines"], len(r["onds"])) for r in document["runs"]] == [("v1_Summer", 20, ["TK"], 20), ("v1_Winter", 10, ["TK"], 10)]
+    head, back, back_runs = feed.read_feed(spark, str(tmp_path / "feed"), pruned.schema, runs.schema)
+    assert head.first()["count"] == 30 and sorted(map(str, back.collect())) == sorted(map(str, pruned.collect())) and back_runs.count() == 2
+
+
+def test_an_empty_feed_is_a_document_too(spark, tmp_path):
+    fares = spark.createDataFrame([], "airline string, origin string, destination string, coll_season string, coll_date string, features map<string,struct<state:string,detail:string>>")
+    feed.write_feed(feed.prune_features(fares), feed.run_rows(fares, "v1", "t"), str(tmp_path / "feed"), "t", ["airline"])
+    text = "".join(f.read_text() for part in feed.PARTS for f in sorted((tmp_path / "feed" / part).glob("*.txt")))
+    assert json.loads(text) == {"generated_at": "t", "count": 0, "fares": [], "runs": []}
+
+
+def test_a_day_written_again_replaces_its_own_rows_only(spark, tmp_path):
+    rows = lambda price, *days: spark.createDataFrame([("TK", d, price) for d in days], "carrier string, coll_date string, price long") \
+        .withColumn("coll_date", F.to_date("coll_date"))
+    path, both = str(tmp_path / "archive"), rows(1, "2026-01-15", "2026-01-16")
+    archive.replace_days(both, path)
+    read = lambda **days: sorted((str(r.coll_date), r.price) for r in archive.read_days(spark, path, both.schema, **days).collect())
+    for _ in range(2):
+        archive.replace_days(rows(2, "2026-01-16"), path)
+        assert read() == [("2026-01-15", 1), ("2026-01-16", 2)]
+    assert read(first="2026-01-16") == [("2026-01-16", 2)] and read(last="2026-01-15") == [("2026-01-15", 1)]
