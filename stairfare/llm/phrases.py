@@ -4,9 +4,10 @@ Only the longest windows are counted: each word of a text with the words behind
 ``w5`` that are padded where the piece ends.  A phrase of k words occurs as often as it leads a window, so Spark's
 ROLLUP over the columns sums the windows to all shorter phrases, and to the words of the group, in one pass.
 
-A window need not be longer than its phrases can be frequent.  Before it is counted, words and neighbouring words are
-counted by hash bucket; a bucket below the threshold holds no frequent one, so windows are padded from there.  A
-bucket can only seem too frequent, never too rare: nothing is lost, and the bit set of buckets has a fixed bound.
+A window need not be longer than its phrases can be frequent.  Before it is counted, words and pairs of neighbours are
+counted by hash bucket, then triples whose pairs may be frequent; a bucket below the threshold holds no frequent
+one, so windows are padded from there.  A bucket can only seem too frequent, never too rare: nothing is lost, and the
+bit sets of buckets have a fixed bound.
 """
 
 import re
@@ -23,11 +24,11 @@ from .records import TEXT
 LONGEST, LEAST, TOP = 5, 100, 2_000
 #: Name of the group of rows without one.
 NO_GROUP = "und"
-PASS_BYTES = 1_500_000
+PASS_BYTES = 1_000_000
 #: Bytes of text for one bucket, and bounds of their number (a power of two); a bit each goes to every task.
 BYTES_A_BUCKET, FEWEST_BUCKETS, MOST_BUCKETS = 64, 1 << 16, 1 << 28
 #: Bucket numbers that a task counts at once.
-COUNTED_AT_ONCE = 3_000_000
+COUNTED_AT_ONCE = 1_000_000
 #: Groups whose word totals are broadcast; beyond it they are joined by a shuffle.
 BROADCAST_GROUPS = 10_000
 
@@ -76,15 +77,27 @@ class Words:
         data, starts = laid_out(self.names.to_pylist())
         self.hash = stretches(running(data), starts[:-1], starts[1:] - 1)
 
-    def buckets(self, group_hash: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket of each word, and of each word with the next (right where ``follows``)."""
+    def buckets(self, group_hash: np.ndarray, count: int, most: int) -> list[np.ndarray]:
+        """For 1 to ``most`` words the bucket of the run that starts at each word, right where it stays in its piece."""
         shift = np.uint64(64 - (count.bit_length() - 1))
         h = self.hash[self.code]
-        g = group_hash[self.group]
-        one = mixed(h ^ g) >> shift
-        two = np.zeros(len(h), np.uint64)
-        two[:-1] = mixed(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] + g[:-1]) >> shift
-        return one.astype(np.int64), two.astype(np.int64)
+        value = mixed(h ^ group_hash[self.group])
+        out = [(value >> shift).astype(np.int32)]
+        for n in range(1, most):
+            value = value.copy()
+            value[:-n] = mixed(value[:-n] * np.uint64(0x9E3779B97F4A7C15) + h[n:])
+            out.append((value >> shift).astype(np.int32))
+        return out
+
+
+def _known(bits, bucket: np.ndarray) -> np.ndarray:
+    known = np.frombuffer(bits.value, np.uint8)
+    return (known[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
+
+
+def _then(runs: np.ndarray, n: int) -> np.ndarray:
+    """``runs`` moved ``n`` words back: whether the word behind by ``n`` has the property."""
+    return np.concatenate([runs[n:], np.zeros(min(n, len(runs)), bool)])
 
 
 def _read(batches, longest: int):
@@ -99,19 +112,25 @@ def _read(batches, longest: int):
             yield Words(part.column("__text").cast(pa.binary()).to_pylist(), groups.indices.to_numpy(), longest), names, hashes
 
 
-def _count_buckets(count: int, longest: int):
+def _count_buckets(count: int, longest: int, pairs=None):
+    """Buckets of words and pairs; with the bits of frequent ones, those of triples of frequent pairs."""
     def merged(held):
         bucket, inverse = np.unique(np.concatenate([b for b, _ in held]), return_inverse=True)
-        n = np.bincount(inverse, weights=np.concatenate([c for _, c in held])).astype(np.int64)
-        return bucket, n
+        return bucket, np.bincount(inverse, weights=np.concatenate([c for _, c in held])).astype(np.int32)
+
+    def met(words, hashes):
+        if pairs is None:
+            one, two = words.buckets(hashes, count, 2)
+            return np.concatenate([one[words.starts], two[words.starts & words.follows]])
+        _, two, three = words.buckets(hashes, count, 3)
+        on = words.follows & _known(pairs, two)
+        return three[words.starts & on & _then(on, 1)]
 
     def run(batches):
         held, size = [], 0
         for words, _, hashes in _read(batches, longest):
-            one, two = words.buckets(hashes, count)
-            bucket, n = np.unique(np.concatenate([one[words.starts], two[words.starts & words.follows]]), return_counts=True)
-            held.append((bucket, n))
-            size += len(bucket)
+            held.append(np.unique(met(words, hashes), return_counts=True))
+            size += len(held[-1][0])
             if size > COUNTED_AT_ONCE:
                 held = [merged(held)]
                 if len(held[0][0]) > COUNTED_AT_ONCE // 2:
@@ -124,41 +143,39 @@ def _count_buckets(count: int, longest: int):
     return run
 
 
-def _frequent_buckets(texts: DataFrame, count: int, longest: int, least: int) -> bytes:
-    """A bit for each bucket, set where it is met ``least`` times: ``count / 8`` bytes, 32 MB at most."""
-    met = texts.mapInArrow(_count_buckets(count, longest), "bucket long, n long") \
+def _frequent_buckets(texts: DataFrame, count: int, longest: int, least: int, pairs=None):
+    """A bit for each bucket, set where it is met ``least`` times, broadcast: ``count / 8`` bytes, 32 MB at most."""
+    met = texts.mapInArrow(_count_buckets(count, longest, pairs), "bucket int, n int") \
         .groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     # the functions count from 1 on: number b + 1 lies in map 1 + b // 32768 at b % 32768
-    maps = met.groupBy(F.expr("bitmap_bucket_number(bucket + 1)").alias("at")) \
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bucket + 1))").alias("bits")).collect()
+    maps = met.groupBy(F.expr("bitmap_bucket_number(bucket + 1L)").alias("at")) \
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bucket + 1L))").alias("bits")).collect()
     out = bytearray(count // 8)
     for r in maps:
         lo = (r["at"] - 1) * 4_096
         out[lo:lo + 4_096] = r["bits"][:len(out) - lo]
-    return bytes(out)
+    return texts.sparkSession.sparkContext.broadcast(bytes(out))
 
 
-def _windows(bits, count: int, longest: int):
+def _windows(pairs, triples, count: int, longest: int):
     columns = [f"w{j + 1}" for j in range(longest)]
 
     def run(batches):
-        known = np.frombuffer(bits.value, np.uint8)
-
-        def frequent(bucket):
-            return (known[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1 == 1
-
         for words, groups, hashes in _read(batches, longest):
-            one, two = words.buckets(hashes, count)
-            here, on = frequent(one), words.follows & frequent(two)
+            one, two, three = words.buckets(hashes, count, 3)
+            here = _known(pairs, one)
+            on = words.follows & _known(pairs, two) & _then(here, 1)
+            third = _known(triples, three) if longest > 2 else on
             code = np.where(here, words.code + 1, 0).astype(np.int32)
             lead = {"g": words.group.astype(np.int32)[words.starts]}
             alive = here
             for j, name in enumerate(columns):
                 if j:
-                    alive = alive[:-1] & on[j - 1:-1]
-                    alive &= here[j:]
+                    alive = alive & _then(on, j - 1)
+                if j > 1:
+                    alive = alive & _then(third, j - 2)
                 column = np.zeros(len(code), np.int32)
-                column[:len(alive)] = np.where(alive, code[j:], 0)
+                column[:len(code) - j] = np.where(alive[:len(code) - j], code[j:], 0)
                 lead[name] = column[words.starts]
             counted = pa.table(lead).group_by(["g", *columns]).aggregate([([], "count_all")])
             names = pa.concat_arrays([pa.array([""], pa.string()), words.names.cast(pa.string())])
@@ -175,15 +192,18 @@ def counts(packages: DataFrame, group: str = "carrier", text: str = TEXT, longes
         .where(F.octet_length("__text") > 0)
     size = texts.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0
     buckets = min(max(1 << max(size // BYTES_A_BUCKET, 1).bit_length(), FEWEST_BUCKETS), MOST_BUCKETS)
-    bits = spark.sparkContext.broadcast(_frequent_buckets(texts, buckets, longest, least))
+    pairs = _frequent_buckets(texts, buckets, longest, least)
+    triples = _frequent_buckets(texts, buckets, longest, least, pairs) if longest > 2 else None
     w = [f"w{j + 1}" for j in range(longest)]
-    windows = texts.mapInArrow(_windows(bits, buckets, longest), f"__group string, {', '.join(f'{c} string' for c in w)}, n long")
+    windows = texts.mapInArrow(_windows(pairs, triples, buckets, longest), f"__group string, {', '.join(f'{c} string' for c in w)}, n long")
     rolled = windows.rollup("__group", *w).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # the level has a bit for each column summed away: 2**longest - 1 leaves the group alone
     k = sum((F.when(F.col("level") < (1 << (longest - j)), 1).otherwise(0) for j in range(1, longest + 1)), F.lit(0))
-    found = rolled.where(F.col("level") < (1 << longest)).withColumn("k", k.cast("int"))
+    found = rolled.withColumn("k", k.cast("int"))
     last = F.get(F.array(F.lit("x"), *w), F.col("k"))
-    return found.where((F.col("k") == 0) | ((F.col("f") >= least) & (last != ""))) \
+    # padded prefixes say nothing new; the condition names keys only, so the optimiser drops them before they are summed
+    found = found.where((F.col("level") < (1 << longest)) & (last != ""))
+    return found.where((F.col("k") == 0) | (F.col("f") >= least)) \
         .select("__group", "k", F.when(F.col("k") == 0, "").otherwise(F.array_join(F.slice(F.array(*w), F.lit(1), F.greatest("k", F.lit(1))), " ")).alias("phrase"), "f")
 
 

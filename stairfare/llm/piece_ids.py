@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .portions import slices
+from .portions import distinct, filled, slices
 from .records import KEY, TEXT, keyed, restored
 
 #: Characters of text in one pass, about; a text beyond it is cut where no piece can cross.
@@ -25,12 +25,6 @@ _NONE = np.int32(2**31 - 1)
 _LOADED: dict = {}
 
 
-def _filled(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places ``start, start + 1, ...`` of each stretch, one stretch behind the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 class Pieces:
     """A model's pieces as arrays.  Only BPE models with byte fallback whose normaliser leaves characters alone.
 
@@ -219,7 +213,7 @@ class Pieces:
         order = np.empty(n, np.int64)
         order[numbers] = np.arange(n)
         starts = (np.cumsum(counts) - counts)[order]
-        return flat[_filled(starts, counts[order])], counts[order]
+        return flat[filled(starts, counts[order])], counts[order]
 
     def _byte_fallback(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters that are no piece as the ids of their UTF-8 bytes."""
@@ -230,7 +224,7 @@ class Pieces:
         wide = np.ones(len(symbols), np.int64)
         wide[strange] = [len(b) for b in coded]
         out = np.repeat(symbols, wide)
-        out[_filled((np.cumsum(wide) - wide)[strange], wide[strange])] = self.byte_ids[np.concatenate(coded)]
+        out[filled((np.cumsum(wide) - wide)[strange], wide[strange])] = self.byte_ids[np.concatenate(coded)]
         return out, np.add.reduceat(wide, np.cumsum(sizes) - sizes)
 
     def cut(self, text: str, size: int = PASS_CHARS):
@@ -255,11 +249,11 @@ class Pieces:
         first = np.flatnonzero(new)
         size = np.diff(np.append(first, len(chars)))
         symbols = self.symbol_of[chars]
-        representative, number = _distinct(symbols, first, size)
+        representative, number = distinct(symbols, first, size)
         own = first[representative]
-        ids, counts = self._byte_fallback(*self.merged(symbols[_filled(own, size[representative])], size[representative]))
+        ids, counts = self._byte_fallback(*self.merged(symbols[filled(own, size[representative])], size[representative]))
         at = np.cumsum(counts) - counts
-        flat = ids[_filled(at[number], counts[number])]
+        flat = ids[filled(at[number], counts[number])]
         ends = np.cumsum(counts[number])
         return np.split(flat, ends[np.searchsorted(first, starts[1:-1]) - 1])
 
@@ -322,22 +316,6 @@ class Pieces:
         return "".join(out)
 
 
-def _distinct(symbols: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(one stretch of each kind, kind of each stretch)``; stretches are compared symbol by symbol in the end."""
-    factor = np.random.default_rng(7).integers(1, 1 << 62, int(size.max()), dtype=np.uint64) | np.uint64(1)
-    inside = np.arange(len(symbols)) - np.repeat(first, size)
-    value = (symbols.astype(np.uint64) + np.uint64(1)) * factor[inside]
-    h = np.add.reduceat(value ^ (value >> np.uint64(29)), first)
-    _, one, number = np.unique(h, return_index=True, return_inverse=True)
-    same = size[one][number] == size
-    if same.all():
-        alike = symbols == symbols[_filled(first[one][number], size)]
-        same = np.logical_and.reduceat(alike, first)
-    if not same.all():  # two kinds under one hash: every stretch is its own
-        return np.arange(len(first)), np.arange(len(first))
-    return one, number
-
-
 def pieces(path: str) -> Pieces:
     """The process's arrays of the model at ``path``."""
     if path not in _LOADED:

@@ -31,3 +31,26 @@ def tiles(data: bytes, size: int, border: re.Pattern, ahead: re.Pattern):
         yield data[lo:hi], ahead.match(data, hi).group()
         lo = hi
     yield data[lo:], b""
+
+
+def filled(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``start, start + 1, ...`` of each stretch, one stretch behind the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def distinct(symbols: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(one stretch of each kind, kind of each stretch)``; stretches are compared symbol by symbol in the end."""
+    factor = np.random.default_rng(7).integers(1, 1 << 62, int(size.max()), dtype=np.uint64) | np.uint64(1)
+    start = np.cumsum(size) - size
+    inside = np.arange(int(size.sum())) - np.repeat(start, size)
+    own = symbols[inside + np.repeat(first, size)]
+    value = (own.astype(np.uint64) + np.uint64(1)) * factor[inside]
+    h = np.add.reduceat(value ^ (value >> np.uint64(29)), start)
+    _, one, number = np.unique(h, return_index=True, return_inverse=True)
+    same = size[one][number] == size
+    if same.all():
+        same = np.logical_and.reduceat(own == symbols[inside + np.repeat(first[one][number], size)], start)
+    if not same.all():  # two kinds under one hash: every stretch is its own
+        return np.arange(len(first)), np.arange(len(first))
+    return one, number

@@ -72,7 +72,7 @@ def test_phrase_windows_of_a_long_text_do_not_depend_on_its_tiles(monkeypatch):
 
     def counted():
         total = Counter()
-        for part in phrases._windows(every, 1 << 16, 5)([batch]):
+        for part in phrases._windows(every, every, 1 << 16, 5)([batch]):
             for row in zip(*[c.to_pylist() for c in part.columns]):
                 total[row[:-1]] += row[-1]
         return total
