@@ -60,8 +60,16 @@ C["market_bodies"] = f"""SELECT {FL}, origin, destination, block_no, date_pos, c
   GROUP BY {FL}, origin, destination, block_no, date_pos"""
 SQL["s18_largest_response"] = b("""SELECT origin, destination, season, block_no, date_pos, group_cabin, packages FROM market_bodies
   QUALIFY row_number() OVER (PARTITION BY origin, destination, season, block_no, date_pos, group_cabin ORDER BY length(body) DESC, body)=1""")
-C["air"] = f"""SELECT {U}, group_cabin AS cabin, flight_id, count(*) AS brands, count(*) FILTER (qty%20<>19) AS mapped, count(*) FILTER (ln%3=0) AS refused, max(qty || ' KG x ' || ln || ' PC') AS last_value FROM cards WHERE flight_id%17<>0 GROUP BY ALL"""
+C["air"] = f"""SELECT {U}, group_cabin AS cabin, flight_id, count(*) AS brands, count(*) FILTER (qty%20<>19) AS mapped, count(*) FILTER (ln%3=0) AS refused, max(qty || ' KG x ' || ln || ' PC' || CASE WHEN qty%20=19 THEN ' x ' || (ln*5) || '%' ELSE '' END) AS last_value FROM cards WHERE flight_id%17<>0 GROUP BY ALL"""
 SQL["s19_airline_json"] = b(f"SELECT * FROM air QUALIFY row_number() OVER (PARTITION BY {L} ORDER BY brands DESC, flight_id)=1")
+C["air_brands"] = f"""SELECT *, CASE ln%5 WHEN 1 THEN bare WHEN 0 THEN bare WHEN 2 THEN NULL ELSE raw_brand_name END AS code, ({c.arr([t for t, _ in R.AIRLINE_RIGHT_TYPES])})[CAST(qty%20 AS INT)+1] AS kind FROM (
+  SELECT k.*, row_number() OVER (PARTITION BY {FL} ORDER BY screen_order) - 1 AS place, {c.pick(list(R.AIRLINE_BRAND_NAMES), 'qty % 3')} AS bare FROM cards k
+  JOIN (SELECT {U}, cabin AS group_cabin, flight_id FROM air QUALIFY row_number() OVER (PARTITION BY {L} ORDER BY brands DESC, flight_id)=1) USING ({U}, group_cabin, flight_id))"""
+key_of = c.mapping("kind", [(k, v) for k, v in R.AIRLINE_RIGHT_TYPES if v])
+SQL["s19_airline_brands"] = b(f"""SELECT group_cabin AS cabin, coalesce({c.mapping('code', R.AIRLINE_BRAND_NAMES.items())}, code, group_cabin || ' #' || place) AS raw_brand_name, coalesce(code, '-') AS code,
+  CASE WHEN qty%20=19 THEN ln%3<>0 END AS mileage_available, CASE WHEN qty%20=19 THEN CAST(ln*5 AS DOUBLE) END AS bonus_percent, count(*) AS n, CAST(sum(price_value) AS DOUBLE) AS total,
+  max(CASE WHEN kind IS NULL THEN '' WHEN {key_of} IS NULL THEN kind || ': ' || val WHEN {key_of} IN ('checked_baggage','cabin_baggage') THEN replace({key_of}, '_', ' ') || ': ' || val ELSE '' END) AS last_description
+  FROM (SELECT *, qty || ' KG x ' || ln || ' PC' AS val FROM air_brands) GROUP BY ALL""")
 w = c.cabin_of("raw_brand_name")
 tab = c.override('carrier', 'fare_family_code', "''", 2)
 C["boxes"] = f"""SELECT {FL}, carrier, raw_brand_name AS card, coalesce(tabled, raw_brand_name) AS raw_brand_name, CAST(CAST('319.08' AS DECIMAL(14,2)) + coalesce(price_value, 0) AS DECIMAL(14,2)) AS pv FROM (SELECT *, {tab} AS tabled, {w} AS w FROM cards)

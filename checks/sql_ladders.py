@@ -96,9 +96,9 @@ SQL["w22_cheapest_family"] = b(f"""SELECT carrier, raw_brand_name, CAST(screen_n
   FROM (SELECT *, row_number() OVER (PARTITION BY {FL} ORDER BY price_value NULLS LAST, screen_order, raw_brand_name) - 1 AS screen_no FROM cards) GROUP BY ALL""")
 SQL["a1_ladder_quality"] = b(f"""SELECT {L}, count(*) AS n_brands, count(*) FILTER (r > 3.0) AS bad_steps, {r3('greatest(coalesce(max(r), 1), 1)')} AS worst_step FROM (
   SELECT *, CAST(price AS DOUBLE) / lag(CAST(price AS DOUBLE)) OVER (PARTITION BY {L} ORDER BY price) AS r FROM ladders) GROUP BY ALL""")
-SQL["a2_ladder_content"] = b(f"""SELECT {U}, group_cabin, n_brands, CAST(right_lines + lines AS BIGINT) AS content FROM
+SQL["a2_ladder_content"] = b(f"""SELECT {U}, group_cabin, n_brands, CAST(right_lines + parts AS BIGINT) AS content FROM
   (SELECT {U}, group_cabin, count(*) AS n_brands, sum(n_rights) AS right_lines FROM cards GROUP BY ALL) JOIN
-  (SELECT {U}, group_cabin, count(*) AS lines FROM rule_lines GROUP BY ALL) USING ({U}, group_cabin)""")
+  (SELECT {U}, group_cabin, sum(CASE WHEN ln=7 THEN 0 WHEN ln%2=0 THEN 2 ELSE 1 END) AS parts FROM lines GROUP BY ALL) USING ({U}, group_cabin)""")
 RT = "carrier, origin, destination, cabin"
 C["season_keys"] = f"""SELECT {RT}, season, k, arg_min(slot, slot) AS at, arg_min(abs_price, slot) AS price FROM (SELECT *, {key('pretty_name')} AS k FROM published SEMI JOIN successes USING ({U}, pass_no)) WHERE k<>'' GROUP BY ALL"""
 SQL["j10_season_pair_preferences"] = b(f"""SELECT {RT}, CASE WHEN sg > wg THEN s1 ELSE w1 END AS first_key, CASE WHEN sg > wg THEN s2 ELSE w2 END AS second_key, CAST(greatest(sg, wg) AS DOUBLE) AS gap

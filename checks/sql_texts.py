@@ -23,7 +23,8 @@ SQL["f5_suspicious_name"] = b(f"""SELECT pretty_name, coalesce(fare_family_code,
   FROM (SELECT *, {c.pretty(N, 'carrier')} AS pretty_name FROM lines) GROUP BY ALL""")
 SQL["f6_effective_cabin"] = b(tally(
     "lines", "carrier", N, "coalesce(fare_family_code,'-') AS code", "group_cabin",
-    f"{c.effective(N, 'fare_family_code', 'NULL', 'group_cabin', 'carrier')} AS effective_cabin"))
+    "coalesce(hint, '-') AS hint", f"{c.effective(N, 'fare_family_code', 'hint', 'group_cabin', 'carrier')} AS effective_cabin")
+    .replace("FROM lines", "FROM (SELECT *, CASE WHEN ln%4=0 THEN 'Business' WHEN ln%4=1 THEN 'Premium Economy' END AS hint FROM lines)"))
 lbl = c.mapping(c.subtier(N), [(k, t) for k, _, t in vocab.SUBTIERS])
 cleaned = f"trim(regexp_replace(regexp_replace({N}, '(?i)\\b(class|fare|package|brand)\\b', ' ', 'g'), '\\s+', ' ', 'g'))"
 SQL["f7_canonical_name"] = b(tally(

@@ -259,15 +259,17 @@ def s18_largest_response(spark, sf):
     return df.groupBy(*search).agg(F.count("*").alias("packages"))
 
 
-@query
-def s19_airline_json(spark, sf):
+def airline_ladders(spark, sf):
     """Airline availability: fare category map per itinerary, fullest ladder per unit and cabin."""
     cards = bridge.cards(spark, sf)
     q, ln = F.col("qty"), F.col("ln")
-    arg = F.struct(q.alias("kilo"), ln.alias("piece"))
-    right = F.struct(bridge.pick([t for t, _ in R.AIRLINE_RIGHT_TYPES] + ["BONUS_MILE"], q % 20).alias("rightType"),
+    kind = bridge.pick([t for t, _ in R.AIRLINE_RIGHT_TYPES] + ["BONUS_MILE"], q % 20)
+    arg = F.struct(q.alias("kilo"), ln.alias("piece"), F.when(kind == "BONUS_MILE", (ln * 5).cast("int")).alias("percentage"))
+    right = F.struct(kind.alias("rightType"),
                      (ln % 3 != 0).alias("hasRight"), (ln % 2 == 0).alias("withCharge"), F.lit("ALLOWED").alias("rightStatus"), arg.alias("args"))
-    brand = F.struct(F.col("raw_brand_name").alias("brandCode"), F.struct(
+    bare = bridge.pick(list(R.AIRLINE_BRAND_NAMES), q % 3)
+    code = F.when(ln % 5 == 1, bare).when(~(ln % 5).isin(0, 2), F.col("raw_brand_name"))
+    brand = F.struct(code.alias("brandCode"), F.when(ln % 5 == 0, F.array(bare)).alias("brandCodeList"), F.struct(
         F.col("price_value").cast("double").alias("amount"), F.lit("USD").alias("currencyCode")).alias("grandTotalFare"),
         F.array(right).alias("brandRightList"))
     per = cards.groupBy(*FL, "carrier", "origin", "destination").agg(
@@ -276,8 +278,20 @@ def s19_airline_json(spark, sf):
     fl = per.groupBy("flight_id", *U).agg(F.map_from_entries(F.collect_list(F.struct(code, F.struct("bookingPriceInfoList")))).alias("fareCategory"))
     opt = F.struct((F.col("flight_id") % 17 == 0).alias("soldOutAllFlights"), F.array(F.struct("fareCategory")).alias("originDestinationOptionList"))
     body = F.to_json(F.struct(F.struct(F.array(opt).alias("originDestinationInformationList")).alias("data")))
-    df = payloads.airline_ladders(fl.select(*U, F.col("flight_id").alias("offer_no"), body.alias("body")), U)
-    r = payloads.airline_rights(df)
+    return payloads.airline_ladders(fl.select(*U, F.col("flight_id").alias("offer_no"), body.alias("body")), U)
+
+
+@query
+def s19_airline_brands(spark, sf):
+    """Names, bonus miles and descriptions of the airline's brands."""
+    b = payloads.airline_brands(airline_ladders(spark, sf))
+    return b.groupBy("cabin", "raw_brand_name", F.coalesce("fare_family_code", F.lit("-")).alias("code"), "mileage_available", "bonus_percent").agg(
+        F.count("*").alias("n"), F.sum("price_value").cast("double").alias("total"), F.max("description").alias("last_description"))
+
+
+@query
+def s19_airline_json(spark, sf):
+    r = payloads.airline_rights(airline_ladders(spark, sf))
     return r.groupBy(*U, "cabin", F.col("offer_no").alias("flight_id")).agg(
         F.countDistinct("screen_order").alias("brands"), F.count("right_key").alias("mapped"),
         F.count(F.when(F.col("status") == "Not Included", 1)).alias("refused"), F.max("raw_value").alias("last_value"))

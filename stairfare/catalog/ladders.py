@@ -147,11 +147,12 @@ def a1_ladder_quality(spark, sf):
 
 @query
 def a2_ladder_content(spark, sf):
-    rule = bridge.rule_lines(spark, sf).groupBy(*L[:-1], "group_cabin").agg(F.count("*").alias("lines"))
-    cards = bridge.cards(spark, sf).groupBy(*L[:-1], "group_cabin").agg(
+    """Families of a ladder, and how much they say: rights and the parts of their descriptions."""
+    key = L[:-1] + ["group_cabin"]
+    said = bridge.descriptions(spark, sf).groupBy(*key).agg(F.sum(ladder.description_parts(F.col("description"))).alias("parts"))
+    cards = bridge.cards(spark, sf).groupBy(*key).agg(
         F.count("*").alias("n_brands"), F.sum("n_rights").alias("right_lines"))
-    return cards.join(rule, L[:-1] + ["group_cabin"]).select(
-        *L[:-1], "group_cabin", "n_brands", (F.col("right_lines") + F.col("lines")).alias("content"))
+    return cards.join(said, key).select(*key, "n_brands", (F.col("right_lines") + F.col("parts")).alias("content"))
 
 
 @query

@@ -63,7 +63,7 @@ def flagged_value(kilo: Column, piece: Column, amount: Column, currency: Column,
         shown = value.cast("string")
         return F.when((F.coalesce(shown, F.lit("")) != "") & (value != 0),
                       F.trim(F.concat(shown, F.lit(" "), suffix)))
-    pct = F.when((F.coalesce(percentage.cast("string"), F.lit("")) != "") & (percentage != 0),
+    pct = F.when((F.coalesce(percentage.cast("string"), F.lit("")) != "") & (percentage.try_cast("double") != 0),
                  F.concat(percentage.cast("string"), F.lit("%")))
     parts = F.array_compact(F.array(part(kilo, F.lit("KG")), part(piece, F.lit("PC")),
                                     part(amount, F.coalesce(currency, F.lit(""))), pct))

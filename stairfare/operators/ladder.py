@@ -53,6 +53,12 @@ def ladder_quality(df: DataFrame, keys, price="price_value") -> DataFrame:
         F.count("*").alias("n_brands"), *quality_columns())
 
 
+def description_parts(description: Column) -> Column:
+    """How many parts of a ``;``-separated description say anything."""
+    parts = F.split(F.coalesce(description, F.lit("")), ";")
+    return F.size(F.filter(parts, lambda p: F.trim(p) != ""))
+
+
 def first_rows(df: DataFrame, keys, order) -> DataFrame:
     """The best row per key.  Spark limits each group before the shuffle, so a hot key is cheap."""
     w = Window.partitionBy(*keys).orderBy(*order)

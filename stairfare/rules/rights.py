@@ -130,6 +130,9 @@ PRIORITY_BOARDING|priority_boarding
 """)
 AIRLINE_MILE_TYPES = ["BONUS_MILE", "MILE", "BASE_MILE"]
 
+# FIXED VALUES: bare brand code of the airline's payload -> name shown.
+AIRLINE_BRAND_NAMES = {"CL": "EcoFly", "LG": "ExtraFly", "GN": "FlexFly"}
+
 # FIXED VALUES: search-page rule token | right key (blank = ignored).
 RULE_TOKENS = _rows("""
 SEATSELECTION|seat_selection

@@ -174,6 +174,13 @@ def rule_lines(spark, sf_dir) -> DataFrame:
         *FLIGHT, "raw_brand_name", "screen_order", out.alias("line")))
 
 
+def descriptions(spark, sf_dir) -> DataFrame:
+    """Free text of a family as a source prints it: parts between semicolons, some of them blank."""
+    q, ln = F.col("qty").cast("string"), F.col("ln")
+    text = F.concat_ws(";", F.concat(F.lit("Fare rule "), q), F.when(ln % 2 == 0, F.lit(" valid on all routes ")), F.when(ln % 3 == 0, F.lit("  ")))
+    return with_itinerary(raw_lines(spark, sf_dir).select(*FLIGHT, "raw_brand_name", F.when(ln != 7, text).alias("description")))
+
+
 def penalty_lines(spark, sf_dir) -> DataFrame:
     """Panel lines about changes and refunds before and after departure, one per order line, in six wordings."""
     q, more = F.col("qty").cast("string"), (F.col("qty") + 40).cast("string")

@@ -12,9 +12,9 @@ SEGMENT = "struct<marketing_airline: string, airline: string, operating_airline:
 MARKET = f"""flights struct<departure: array<struct<price: struct<total: double, base: double>, infos: struct<is_virtual_interlining: boolean>,
  segments: array<{SEGMENT}>, provider_packages: array<{PACKAGE}>>>>, currency_rates struct<TRY: struct<Rates: struct<USD: double>>>"""
 
-ARGS = "struct<kilo: int, piece: int, amount: double, currency: string, percentage: double>"
+ARGS = "struct<kilo: int, piece: int, amount: double, currency: string, percentage: string>"
 AIR_RIGHT = f"struct<rightType: string, hasRight: boolean, withCharge: boolean, rightStatus: string, args: {ARGS}>"
-AIR_BRAND = f"struct<brandCode: string, grandTotalFare: struct<amount: double, currencyCode: string, currencySign: string>, brandRightList: array<{AIR_RIGHT}>>"
+AIR_BRAND = f"struct<brandCode: string, brandCodeList: array<string>, grandTotalFare: struct<amount: double, currencyCode: string, currencySign: string>, brandRightList: array<{AIR_RIGHT}>>"
 AIRLINE = f"""data struct<originDestinationInformationList: array<struct<soldOutAllFlights: boolean, originDestinationOptionList:
  array<struct<fareCategory: map<string, struct<bookingPriceInfoList: array<{AIR_BRAND}>>>>>>>>"""
 AIRLINE_CABINS = {"ECONOMY": "Economy", "PREMIUM": "Premium Economy", "BUSINESS": "Business", "FIRST": "First"}
@@ -73,17 +73,48 @@ def airline_ladders(df: DataFrame, keys, body="body") -> DataFrame:
     return ladder.first_rows(cat, [*keys, "cabin"], [F.size("brands").desc(), F.col("offer_no")])
 
 
+def _airline_value(r: Column) -> Column:
+    a = r["args"]
+    return rightfn.flagged_value(a["kilo"], a["piece"], a["amount"], a["currency"], a["percentage"], r["rightStatus"])
+
+
 def airline_rights(ladders: DataFrame) -> DataFrame:
     """Rights of airline brands with status and value."""
     b = ladders.select("*", F.posexplode("brands").alias("screen_order", "b")).drop("brands")
     r = b.select("*", F.explode("b.brandRightList").alias("r"))
-    a = "r.args"
     return r.withColumns({
         "right_key": F.element_at(names.literal_map(R.AIRLINE_RIGHT_TYPES), F.col("r.rightType")),
         "is_miles": F.col("r.rightType").isin(R.AIRLINE_MILE_TYPES),
         "status": rightfn.flagged_status(F.col("r.hasRight"), F.col("r.withCharge"), F.col("r.rightStatus")),
-        "raw_value": rightfn.flagged_value(F.col(f"{a}.kilo"), F.col(f"{a}.piece"), F.col(f"{a}.amount"),
-                                           F.col(f"{a}.currency"), F.col(f"{a}.percentage"), F.col("r.rightStatus"))}).drop("b", "r")
+        "raw_value": _airline_value(F.col("r"))}).drop("b", "r")
+
+
+def airline_brands(ladders: DataFrame) -> DataFrame:
+    """Brands of airline ladders: name, code, price, miles and description.
+
+    A bare code has its own name, a brand without a code that of its cabin and place.  Of several mile rights the last
+    says whether miles are earned, the last percentage is the bonus; without a mile right nothing is known.  The
+    description lists what the right taxonomy has no place for, and the baggage.
+    """
+    b = ladders.select("*", F.posexplode("brands").alias("screen_order", "b")).drop("brands")
+    some = lambda c: F.when(c != "", c)
+    code = F.coalesce(some(F.col("b.brandCode")), F.get("b.brandCodeList", F.lit(0)))
+    known = names.literal_map(R.AIRLINE_BRAND_NAMES.items())
+    name = F.coalesce(F.element_at(known, code), some(code), F.concat(F.col("cabin"), F.lit(" #"), F.col("screen_order").cast("string")))
+    rights = F.coalesce("b.brandRightList", F.array().cast(f"array<{AIR_RIGHT}>"))
+    miles = F.filter(rights, lambda r: r["rightType"].isin(R.AIRLINE_MILE_TYPES))
+    shares = F.filter(F.transform(miles, lambda r: r["args"]["percentage"]), lambda x: x.isNotNull())
+    keys = names.literal_map(R.AIRLINE_RIGHT_TYPES)
+
+    def bit(r):
+        key, value = some(F.coalesce(F.element_at(keys, r["rightType"]), F.lit(""))), _airline_value(r)
+        label = F.when(key.isNull(), r["rightType"]).when(key.isin("checked_baggage", "cabin_baggage"), F.replace(key, F.lit("_"), F.lit(" ")))
+        return F.when(~r["rightType"].isin(R.AIRLINE_MILE_TYPES) & (value != "") & label.isNotNull(), F.concat(label, F.lit(": "), value))
+    return b.withColumns({
+        "raw_brand_name": name, "fare_family_code": code, "price_value": F.col("b.grandTotalFare.amount").cast("decimal(14,2)"),
+        "mileage_available": F.when(F.size(miles) > 0, F.coalesce(F.element_at(miles, -1)["hasRight"], F.lit(False))),
+        "bonus_percent": F.try_element_at(shares, F.lit(-1)).try_cast("double"),
+        "description": F.array_join(F.array_compact(F.transform(rights, bit)), "; ")}).drop("b")
 
 
 def search_boxes(df: DataFrame, requested: Column, body="body") -> DataFrame:
