@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from ..functions import names
-from ..operators import geography, ladder, matching
+from ..operators import geography, ladder
 from ..plans import archive
 from ..rules import rights as R
 from ..sources import bridge
@@ -73,16 +73,18 @@ def a24_package_index(spark, sf):
 def tier_rights(spark, sf):
     """Granted rights (Included or Paid) and content score of each route ladder's families.
 
-    The right of one family is one bit, so a family's rights are one number however often read.
+    The right of one family is one bit.  The strongest statement counts, so a right is granted if any statement
+    grants it and scores 1 if any includes it: two bit sets say all, and no right needs a row of its own.
     """
     r = bridge.rights(spark, sf)
-    best = matching.merged_rights(r, U + ["group_cabin", "raw_brand_name"])
     idx = F.array_position(F.array(*[F.lit(k) for k in R.RIGHT_KEYS]), F.col("right_key")).cast("int")
     bit = F.call_function("shiftleft", F.lit(1), idx)
-    granted = F.col("status").isin("Included", "Paid")
-    score = F.when(F.col("status") == "Included", 1.0).when(F.col("status") == "Paid", 0.5).otherwise(0.0)
-    per = best.groupBy(*U, F.col("group_cabin").alias("cabin"), "raw_brand_name").agg(
-        F.bit_or(F.when(granted, bit).otherwise(0)).alias("granted"), F.sum(score).alias("score"))
+    stated = lambda status: F.bit_or(F.when(F.col("status") == status, bit).otherwise(0))
+    per = r.groupBy(*U, F.col("group_cabin").alias("cabin"), "raw_brand_name").agg(
+        stated("Included").alias("included"), stated("Paid").alias("paid"))
+    only_paid = F.col("paid").bitwiseAND(F.bitwise_not("included"))
+    per = per.select(*L, "raw_brand_name", F.col("included").bitwiseOR(F.col("paid")).alias("granted"),
+                     (F.bit_count("included") + F.bit_count(only_paid) * 0.5).alias("score"))
     return route_ladders(spark, sf).join(per, L + ["raw_brand_name"])
 
 

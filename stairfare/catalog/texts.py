@@ -26,39 +26,32 @@ def tally_by(df, inputs, **values):
 
 @query
 def f1_match_key(spark, sf):
-    return tally(bridge.lines(spark, sf).select(
-        "raw_brand_name", names.match_key(F.col("raw_brand_name")).alias("match_key")),
-        "raw_brand_name", "match_key")
+    return tally_by(bridge.lines(spark, sf), ["raw_brand_name"], match_key=names.match_key(F.col("raw_brand_name")))
 
 
 @query
 def f2_subtier(spark, sf):
     n = F.col("raw_brand_name")
-    return tally(bridge.lines(spark, sf).select(
-        n, names.detect_subtier(n).alias("subtier"),
-        names.subtier_rank(names.detect_subtier(n)).alias("subtier_rank")),
-        "raw_brand_name", "subtier", "subtier_rank")
+    subtier = names.detect_subtier(n)
+    return tally_by(bridge.lines(spark, sf), ["raw_brand_name"], subtier=subtier, subtier_rank=names.subtier_rank(subtier))
 
 
 @query
 def f3_cabin_word(spark, sf):
     n = F.col("raw_brand_name")
-    return tally(bridge.lines(spark, sf).select(n, names.detect_cabin(n).alias("cabin_word")),
-                 "raw_brand_name", "cabin_word")
+    return tally_by(bridge.lines(spark, sf), ["raw_brand_name"], cabin_word=names.detect_cabin(n))
 
 
 @query
 def f4_pretty_name(spark, sf):
-    return tally(names.with_pretty_name(bridge.lines(spark, sf)),
-                 "carrier", "raw_brand_name", "pretty_name")
+    return names.with_pretty_name(tally(bridge.lines(spark, sf), "carrier", "raw_brand_name")).select("carrier", "raw_brand_name", "pretty_name", "n")
 
 
 @query
 def f5_suspicious_name(spark, sf):
-    df = names.with_pretty_name(bridge.lines(spark, sf)).withColumn(
+    df = names.with_pretty_name(tally(bridge.lines(spark, sf), "carrier", "raw_brand_name", "fare_family_code")).withColumn(
         "suspicious", names.is_suspicious(F.col("pretty_name"), F.col("fare_family_code")))
-    return tally(df, "pretty_name", F.coalesce("fare_family_code", F.lit("-")).alias("code"),
-                 "suspicious")
+    return df.groupBy("pretty_name", F.coalesce("fare_family_code", F.lit("-")).alias("code"), "suspicious").agg(F.sum("n").alias("n"))
 
 
 def _effective(df):
@@ -80,17 +73,14 @@ def f6_effective_cabin(spark, sf):
 @query
 def f7_canonical_name(spark, sf):
     n, cab = F.col("raw_brand_name"), F.col("group_cabin")
-    return tally(bridge.lines(spark, sf).select(
-        n, cab, names.canonical_name(n, cab).alias("canonical_name"),
-        names.name_rank(n, cab).alias("global_rank")),
-        "raw_brand_name", "group_cabin", "canonical_name", "global_rank")
+    return tally_by(bridge.lines(spark, sf), ["raw_brand_name", "group_cabin"],
+                    canonical_name=names.canonical_name(n, cab), global_rank=names.name_rank(n, cab))
 
 
 @query
 def f8_clean_fare_code(spark, sf):
-    return tally(bridge.lines(spark, sf).select(
-        F.coalesce("fare_family_code", F.lit("-")).alias("code"),
-        names.clean_fare_code(F.col("fare_family_code")).alias("clean_code")), "code", "clean_code")
+    few = tally_by(bridge.lines(spark, sf), ["fare_family_code"], clean_code=names.clean_fare_code(F.col("fare_family_code")))
+    return few.select(F.coalesce("fare_family_code", F.lit("-")).alias("code"), "clean_code", "n")
 
 
 @query
@@ -129,8 +119,7 @@ def f12_lira_to_usd(spark, sf):
 
 @query
 def f13_status_of_text(spark, sf):
-    return tally(bridge.rule_lines(spark, sf).withColumn("status", rightfn.status_of_text(F.col("line"))),
-                 "line", "status")
+    return tally_by(bridge.rule_lines(spark, sf), ["line"], status=rightfn.status_of_text(F.col("line")))
 
 
 @query
@@ -139,7 +128,8 @@ def f14_item_status(spark, sf):
     available = F.when(ln % 3 == 0, True).when(ln % 3 == 1, False)
     st = rightfn.item_status(F.when(ln != 1, available), F.col("raw_value"), F.lit(""),
                              F.when(ln == 5, "Kesintili"))
-    return tally(bridge.rights(spark, sf).withColumn("item_status", st), "ln", "right_key", "item_status")
+    few = tally_by(bridge.rights(spark, sf), ["ln", "right_key", "raw_value"], item_status=st)
+    return few.groupBy("ln", "right_key", "item_status").agg(F.sum("n").alias("n"))
 
 
 def _flags():
@@ -155,16 +145,14 @@ def f15_flagged_status(spark, sf):
     ln, q = F.col("ln"), F.col("qty")
     value = rightfn.flagged_value(F.when(ln % 2 == 0, q), F.when(ln % 3 == 0, ln),
                                   F.when(ln == 7, q), F.lit("USD"), F.when(ln == 5, q), state)
-    return tally(bridge.lines(spark, sf).select(
-        rightfn.flagged_status(has, charge, state).alias("status"), value.alias("raw_value"), "ln"),
-        "ln", "status", "raw_value")
+    few = tally_by(bridge.lines(spark, sf), ["ln", "qty"], status=rightfn.flagged_status(has, charge, state), raw_value=value)
+    return few.groupBy("ln", "status", "raw_value").agg(F.sum("n").alias("n"))
 
 
 @query
 def f16_rule_lines(spark, sf):
-    df = bridge.rule_lines(spark, sf).withColumn("r", rightfn.rule_line(F.col("line")))
-    return df.groupBy("line", "r.kind", "r.key", "r.status", "r.value", "r.earned", "r.bonus") \
-        .agg(F.count("*").alias("n"))
+    few = tally(bridge.rule_lines(spark, sf), "line").withColumn("r", rightfn.rule_line(F.col("line")))
+    return few.select("line", "r.kind", "r.key", "r.status", "r.value", "r.earned", "r.bonus", "n")
 
 
 @query
@@ -174,44 +162,40 @@ def f17_item_codes(spark, sf):
     air = bridge.pick([i for i, _ in R.AIRLINE_RIGHT_TYPES] + ["NO_SHOW"], F.col("part_no") % 20)
     amap = F.element_at(names.literal_map(R.AIRLINE_RIGHT_TYPES), F.col("right_type"))
     df = bridge.lines(spark, sf).withColumn("item", item).withColumn("right_type", air)
-    return tally(df.withColumn("right_key", F.coalesce(mapped, F.lit("")))
-                 .withColumn("airline_key", F.coalesce(amap, F.lit(""))),
-                 "item", "right_key", "right_type", "airline_key")
+    return tally_by(df, ["item", "right_type"], right_key=F.coalesce(mapped, F.lit("")), airline_key=F.coalesce(amap, F.lit("")))
 
 
 @query
 def f18_rule_detail(spark, sf):
-    return tally(bridge.rights(spark, sf).withColumn(
-        "detail", rightfn.rule_detail(F.col("right_key"), F.col("status"))),
-        "right_key", "status", "detail")
+    return tally_by(bridge.rights(spark, sf), ["right_key", "status"], detail=rightfn.rule_detail(F.col("right_key"), F.col("status")))
 
 
 @query
 def f19_baggage_short(spark, sf):
     df = bridge.rights(spark, sf).where(F.col("right_key").isin(R.BAGGAGE_KEYS))
-    return tally(df.withColumn("short", rightfn.baggage_short(F.col("raw_value"))), "raw_value", "short")
+    return tally_by(df, ["raw_value"], short=rightfn.baggage_short(F.col("raw_value")))
 
 
 @query
 def f20_baggage_text(spark, sf):
     piece = F.when(F.col("ln") != 4, F.col("ln"))
     allowance = F.when(F.col("qty") % 2 == 0, F.col("qty").cast("string"))
-    return tally(bridge.lines(spark, sf).withColumn(
-        "detail", rightfn.baggage_text(piece, allowance, F.lit("1 bag"))), "ln", "detail")
+    few = tally_by(bridge.lines(spark, sf), ["ln", "qty"], detail=rightfn.baggage_text(piece, allowance, F.lit("1 bag")))
+    return few.groupBy("ln", "detail").agg(F.sum("n").alias("n"))
 
 
 @query
 def f21_fee_text(spark, sf):
     df = bridge.rights(spark, sf).where(F.col("status") == "Paid")
-    return tally(df.withColumn("fee", money.fee_text(F.col("raw_value"))), "raw_value", "fee")
+    return tally_by(df, ["raw_value"], fee=money.fee_text(F.col("raw_value")))
 
 
 @query
 def f22_miles_feature(spark, sf):
     state, detail = rightfn.miles_feature(F.col("mileage_available"), F.col("miles_earned"),
                                           F.col("bonus_percent"))
-    return tally(bridge.cards(spark, sf).withColumn("state", state).withColumn("detail", detail),
-                 "state", "detail")
+    few = tally_by(bridge.cards(spark, sf), ["mileage_available", "miles_earned", "bonus_percent"], state=state, detail=detail)
+    return few.groupBy("state", "detail").agg(F.sum("n").alias("n"))
 
 
 @query
@@ -324,8 +308,8 @@ def f33_display_formats(spark, sf):
 
 @query
 def f34_state_detail(spark, sf):
-    return tally(bridge.rights(spark, sf).withColumn(
-        "cell", rightfn.state_and_detail(F.col("status"), F.col("raw_value"))), "right_key", "cell")
+    few = tally_by(bridge.rights(spark, sf), ["right_key", "status", "raw_value"], cell=rightfn.state_and_detail(F.col("status"), F.col("raw_value")))
+    return few.groupBy("right_key", "cell").agg(F.sum("n").alias("n"))
 
 
 @query
