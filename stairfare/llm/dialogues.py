@@ -63,45 +63,42 @@ def assemble(turns: list[tuple[str | None, str, np.ndarray, np.ndarray]], ids: d
     return (np.concatenate(parts) if parts else np.empty(0, np.uint32)), np.cumsum(step[:-1]).astype(bool)
 
 
-def render(sequence: np.ndarray, path: str) -> str:
-    """The string the ids stand for, control strings included."""
-    names = {v: k for k, v in reserved(path).items()}
-    decode = tokens.encoder(path).tokenizer.decode
-    cut = np.flatnonzero(sequence >= min(names))
-    out, at = [], 0
-    for c in [*cut.tolist(), len(sequence)]:
-        out.append(decode(sequence[at:c].tolist(), skip_special_tokens=False))
-        if c < len(sequence):
-            out.append(names[int(sequence[c])])
-        at = c + 1
-    return "".join(out)
-
-
-def parse(sequence: np.ndarray, path: str) -> list[tuple[str, str]]:
-    """``(role, text)`` of each turn, from the ids alone; null roles come back as empty ones."""
-    r = reserved(path)
-    decode = tokens.encoder(path).tokenizer.decode
-    turns, at, role = [], 0, "assistant"
-    for c in np.flatnonzero(sequence >= min(r.values())).tolist():
-        sign = int(sequence[c])
-        segment = unescape(decode(sequence[at:c].tolist(), skip_special_tokens=False))
-        at = c + 1
-        if sign == r["[ROLE]"]:
-            role = segment
-        elif sign == r["[INST]"]:
-            role = "user"
-        elif sign in (r["[/INST]"], r["</s>"]):
-            turns.append((role, segment))
-            role = "assistant"
-    return turns
-
-
-def masked_texts(sequence: np.ndarray, mask: np.ndarray, path: str) -> list[str]:
-    """Texts of the runs under the mask, unescaped."""
-    decode = tokens.encoder(path).tokenizer.decode
-    edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
-    return [unescape(decode(sequence[lo:hi].tolist(), skip_special_tokens=False))
-            for lo, hi in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+class Read:
+    """Formatted conversations, from their ids and masks alone; every stretch of text is decoded once for all of them."""
+
+    def __init__(self, sequences: list[np.ndarray], path: str):
+        self.signs = {v: k for k, v in reserved(path).items()}
+        least = min(self.signs)
+        self.sequences = sequences
+        self.cuts = [np.flatnonzero(s >= least).tolist() for s in sequences]
+        stretches = [s[lo:hi].tolist() for s, cut in zip(sequences, self.cuts) for lo, hi in zip([0, *(c + 1 for c in cut)], [*cut, len(s)])]
+        decoded = iter(tokens.encoder(path).tokenizer.decode_batch(stretches, skip_special_tokens=False))
+        self.texts = [[next(decoded) for _ in range(len(cut) + 1)] for cut in self.cuts]
+
+    def rendered(self, i: int) -> str:
+        """The string the ids stand for, control strings included."""
+        signs = [self.signs[int(self.sequences[i][c])] for c in self.cuts[i]]
+        return "".join(x for pair in zip(self.texts[i], [*signs, ""]) for x in pair)
+
+    def turns(self, i: int) -> list[tuple[str, str]]:
+        """``(role, text)`` of each turn; null roles come back as empty ones."""
+        out, role = [], "assistant"
+        for c, raw in zip(self.cuts[i], self.texts[i]):
+            sign = self.signs[int(self.sequences[i][c])]
+            if sign == "[ROLE]":
+                role = unescape(raw)
+            elif sign == "[INST]":
+                role = "user"
+            elif sign in ("[/INST]", "</s>"):
+                out.append((role, unescape(raw)))
+                role = "assistant"
+        return out
+
+    def masked(self, i: int, mask: np.ndarray) -> list[str]:
+        """Texts of the runs under the mask, unescaped; a run is one stretch, since frames are not masked."""
+        starts = {lo: text for lo, text in zip([0, *(c + 1 for c in self.cuts[i])], self.texts[i])}
+        edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
+        return [unescape(starts[lo]) for lo in np.flatnonzero(edge == 1).tolist()]
 
 
 OUTPUT = "conv_id {kind}, n_turns long, ids binary, loss_mask binary, formatted_chars long"
@@ -154,11 +151,12 @@ def read_back(formatted: DataFrame, tokenizer: str, conv: str = "conv_id") -> Da
 
     def run(batches):
         for pdf in batches:
-            rows = []
-            for c, ids, mask in zip(pdf["conv"], pdf["ids"], pdf["loss_mask"]):
-                sequence, m = np.frombuffer(ids, "<u4"), np.frombuffer(mask, np.uint8).astype(bool)
-                rows.append((c, [{"role": r, "text": t} for r, t in parse(sequence, tokenizer)], masked_texts(sequence, m, tokenizer), render(sequence, tokenizer)))
-            yield pd.DataFrame(rows, columns=["conv", "turns", "loss_texts", "formatted"])
+            for at in range(0, len(pdf), 100):
+                part = pdf.iloc[at:at + 100]
+                read = Read([np.frombuffer(x, "<u4") for x in part["ids"]], tokenizer)
+                rows = [(c, [{"role": r, "text": t} for r, t in read.turns(i)], read.masked(i, np.frombuffer(mask, np.uint8).astype(bool)), read.rendered(i))
+                        for i, (c, mask) in enumerate(zip(part["conv"], part["loss_mask"]))]
+                yield pd.DataFrame(rows, columns=["conv", "turns", "loss_texts", "formatted"])
 
     return formatted.select(F.col(f"`{conv}`").cast("string").alias("conv"), "ids", "loss_mask") \
         .mapInPandas(run, "conv string, turns array<struct<role:string,text:string>>, loss_texts array<string>, formatted string") \
