@@ -8,7 +8,7 @@ compared word by word.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .records import KEY, TEXT, keyed, once, row_mark, without
+from .records import KEY, TEXT, keyed, once, packed, row_mark, unpacked, without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of digits, letters and everything beyond ASCII.
@@ -77,7 +77,8 @@ def overlap(packages: DataFrame, questions: DataFrame, key: str = KEY, text: str
     windows = question_windows(questions, item, item_text, window)
     known = {r["k"]: r["n"] for r in windows.groupBy("k").agg(F.count("*").alias("n")).collect()}  # at most ``window`` rows
     lengths = sorted(known)
-    small = F.broadcast if sum(known.values()) <= BROADCAST_WINDOWS else (lambda df: df)
+    few = sum(known.values()) <= BROADCAST_WINDOWS
+    small = F.broadcast if few else (lambda df: df)
 
     p = once(keyed(packages, key, text), __mark=row_mark(), __words=_words(F.col("__text"))).drop("__text") \
         .withColumn("__n", F.size("__words"))
@@ -89,15 +90,21 @@ def overlap(packages: DataFrame, questions: DataFrame, key: str = KEY, text: str
             F.lit(k).alias("k"), s.alias("p"), _seed(F.col("__words"), s, k).alias("h")))
         return F.when(F.col("__n") >= k, runs).otherwise(F.slice(none, 1, 0))
 
+    # beside a broadcast the words may ride on their seeds; a shuffle carries keys, places and hashes only
+    carried = ["__key", "__mark", "__n", *(["__words"] if few else [])]
     rows = p.withColumn("__seeds", F.concat(none, *[seeds_of_text(k) for k in lengths])) \
-        .select("__key", "__mark", "__n", "__words", F.explode("__seeds").alias("e")) \
-        .select("__key", "__mark", "__n", "__words", "e.k", "e.p", "e.h")
+        .select(*carried, F.explode("__seeds").alias("e")).select(*carried, "e.k", "e.p", "e.h")
     if lengths:
         seeds = small(_seeds_of_windows(windows, lengths).withColumn("found", F.lit(True)))
     else:
         seeds = spark.createDataFrame([], "sk int, sh long, found boolean")
     hits = rows.join(seeds, (F.col("k") == F.col("sk")) & (F.col("h") == F.col("sh")), "left") \
         .where("p < 0 or found")
+    if not few:
+        words = p.select(F.col("__key").alias("__wkey"), F.col("__mark").alias("__wmark"), "__words").dropDuplicates(["__wkey", "__wmark"])
+        own = F.col("__mark").eqNullSafe(F.col("__wmark")) & F.col("__key").eqNullSafe(F.col("__wkey"))
+        hits = hits.where("p < 0").withColumn("__words", F.lit(None).cast("array<string>")).unionByName(
+            hits.where("p >= 0").join(words, own).drop("__wkey", "__wmark"))
     # windows around a hit seed, in the words as the rule compares them
     def windows_around(k):
         starts = F.sequence(F.greatest(F.col("p") - _plan(k)[1] + 1, F.lit(0)), F.least(F.col("p"), F.col("__n") - k))
@@ -138,10 +145,9 @@ def cut_spans(packages: DataFrame, questions: DataFrame, key: str = KEY, text: s
     """``packages`` with every hit word taken out of the text, separators kept; columns unchanged."""
     hits = overlap(packages, questions, key, text, **rules).where("n_hit > 0") \
         .select(F.col(f"`{key}`").alias("__hkey"), F.col("__mark").alias("__hmark"), F.col("hits").alias("__hits")).distinct()
-    marked = packages.withColumn("__mark", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
-    joined = marked.join(hits, F.col("__mark").eqNullSafe(F.col("__hmark")) & F.col(f"`{key}`").eqNullSafe(F.col("__hkey")), "left")
-    words, gaps = _words(F.col(f"`{text}`")), F.split(F.col(f"`{text}`"), WORD)
+    marked = packed(packages, __own=F.col(f"`{key}`"), __given=F.col(f"`{text}`"), __text_mark=F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    joined = marked.join(hits, F.col("__text_mark").eqNullSafe(F.col("__hmark")) & F.col("__own").eqNullSafe(F.col("__hkey")), "left")
+    words, gaps = _words(F.col("__given")), F.split(F.col("__given"), WORD)
     kept = F.transform(words, lambda w, i: F.when(F.exists("__hits", lambda h: (h["s"] <= i) & (i < h["s"] + h["tk"])), "").otherwise(w))
     rebuilt = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(kept, i), F.lit("")))), "")
-    return joined.withColumn("__new", F.when(F.col("__hits").isNull(), F.col(f"`{text}`")).otherwise(rebuilt)) \
-        .select(*[F.col("__new").alias(c) if c == text else F.col(f"`{c}`") for c in packages.columns])
+    return unpacked(joined, packages.columns, **{text: F.when(F.col("__hits").isNull(), F.col("__given")).otherwise(rebuilt)})

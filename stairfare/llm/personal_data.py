@@ -9,7 +9,7 @@ takes its runs whole, so that a very long run without a match costs linear time.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .records import KEY, TEXT, keyed, once
+from .records import KEY, TEXT, keyed, once, packed, unpacked
 
 #: kind -> (cheap test that a text may hold one, pattern).  Order is the order of the result.
 BASE = {
@@ -22,12 +22,14 @@ ADDED = {
     # takes the start only, so that none is passed over; the group behind it is all that may belong to the number, and a character to tell its border
     "iban": (r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,4})?))"),
     "id_number": (r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
+    # keys, tokens and passwords: a long run of letters and digits
+    "secret": (r"[A-Za-z0-9+/_-]{16}", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![A-Za-z0-9+/_=-])"),
 }
 KINDS = [*BASE, *ADDED]
 ACCOUNT = r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?$"
 
 #: Score before context, and words within ``NEAR`` characters that raise it by ``LIFT``.
-SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.8, "id_number": 0.3}
+SCORE = {"email": 0.8, "ip": 0.6, "card": 0.7, "phone": 0.7, "iban": 0.8, "id_number": 0.3, "secret": 0.3}
 CONTEXT = {
     "email": r"mail|contact|kontakt|correo|courriel|eposta",
     "ip": r"\bip\b|address|host|server|adresse",
@@ -35,8 +37,11 @@ CONTEXT = {
     "phone": r"phone|tel|call|mobil|fax|gsm|whatsapp",
     "iban": r"iban|bank|account|konto|compte|cuenta|hesap",
     "id_number": r"ssn|social|identity|passport|national id|ausweis|dni|kimlik",
+    "secret": r"token|secret|passw|\bpwd\b|api.?key|\bkey\b|bearer|credential|auth",
 }
 NEAR, LIFT, LEAST = 40, 0.3, 0.5
+#: Least bits a character of a secret (drawn at random; words have fewer), and digits it has at least.
+SECRET_BITS, SECRET_DIGITS = 3.0, 2
 
 
 def _digits(match: Column) -> Column:
@@ -76,7 +81,19 @@ def _account_length(run: Column) -> Column:
     return F.coalesce(F.get(F.filter(F.sequence(F.greatest(F.length(run), F.lit(15)), F.lit(15), F.lit(-1)), passes), 0), F.lit(0))
 
 
+def _entropy(match: Column) -> Column:
+    """Bits a character, by how often each occurs in the match."""
+    chars, n = F.split(match, "(?<=.)(?=.)"), F.length(match).cast("double")
+
+    def step(bits, c):
+        share = F.size(F.filter(chars, lambda x: x == c)) / n
+        return bits - share * F.log2(share)
+    return F.aggregate(F.array_distinct(chars), F.lit(0.0), step)
+
+
 def _confirmed(kind: str, match: Column) -> Column:
+    if kind == "secret":
+        return (F.length(_digits(match)) >= SECRET_DIGITS) & match.rlike("[A-Za-z]") & (_entropy(F.substring(match, 1, 64)) >= SECRET_BITS)
     if kind == "ip":
         return F.forall(F.split(match, r"\."), lambda p: p.rlike(r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])$"))
     if kind == "card":
@@ -134,8 +151,8 @@ def find(notes: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
 
     ``spans`` are ``kind, start, end, score`` in the order of ``KINDS``, then by start; ``start`` and
     ``end`` count code points, the end is exclusive.  ``base_spans`` are those of the four base kinds,
-    which no score removes; bank accounts and identity numbers are added if their score, lifted by
-    words close by, reaches ``LEAST``.
+    which no score removes; bank accounts, identity numbers and secrets (keys, tokens, passwords that look drawn
+    at random) are added if their score, lifted by words close by, reaches ``LEAST``.
 
     Null or empty text: no spans.  Null keys stay, repeated rows each keep their row, an empty table
     gives an empty one, other columns are not read.  A text is read whole, in linear time.
@@ -146,12 +163,12 @@ def find(notes: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
 
 
 def masked(notes: DataFrame, text: str = TEXT) -> DataFrame:
-    """``notes`` with each span replaced by its kind, such as ``[EMAIL]``; columns unchanged.
+    """``notes`` with each span replaced by its kind, such as ``[EMAIL]``; all other columns unchanged, whatever their names.
 
-    Spans that overlap are one replacement, named after the first.  A null text stays null.
+    Spans that overlap are one replacement, named after the first.  A null text stays null, repeated rows stay.
     """
-    df = once(notes, __text=F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    df = _with_spans(df, "__text")
+    plain = packed(notes, __given=F.col(f"`{text}`"))
+    df = _with_spans(once(plain, __text=F.coalesce("__given", F.lit(""))), "__text")
 
     def step(state, s):
         fresh = s["start"] >= state["at"]
@@ -162,5 +179,4 @@ def masked(notes: DataFrame, text: str = TEXT) -> DataFrame:
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     done = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda s: F.concat(s["out"], F.substring(F.col("__text"), s["at"] + 1, F.length("__text"))))
-    new = F.when(F.size("spans") == 0, F.col(f"`{text}`")).otherwise(done)
-    return df.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in notes.columns])
+    return unpacked(df, notes.columns, **{text: F.when(F.size("spans") == 0, F.col("__given")).otherwise(done)})

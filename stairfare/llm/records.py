@@ -56,12 +56,23 @@ def row_mark() -> Column:
     return F.xxhash64("__text")
 
 
+def packed(df: DataFrame, **values: Column) -> DataFrame:
+    """``values`` beside the whole row as one struct ``__row``: no column of the table can clash with them."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+    return df.select(row, *[v.alias(k) for k, v in values.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The columns of ``__row`` again, some of them with a new value."""
+    return df.select(*[replaced[c].alias(c) if c in replaced else F.col(f"__row.`{c}`").alias(c) for c in columns])
+
+
 def without(df: DataFrame, dropped: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows of ``df`` whose key and text are not in ``dropped`` (``__key, __mark``); all columns stay.
+    """Rows of ``df`` whose key and text are not in ``dropped`` (``__key, __mark``); all columns stay, whatever their names.
 
-    Null keys match null keys.  The two helper columns are named so that no table column clashes.
+    Null keys match null keys.
     """
-    marked = df.withColumn("__mark", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    marked = packed(df, __own=F.col(f"`{key}`"), __text_mark=F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     d = dropped.select(F.col("__key").alias("__dkey"), F.col("__mark").alias("__dmark"))
-    same = F.col("__mark").eqNullSafe(F.col("__dmark")) & F.col(f"`{key}`").eqNullSafe(F.col("__dkey"))
-    return marked.join(d, same, "left_anti").drop("__mark")
+    same = F.col("__text_mark").eqNullSafe(F.col("__dmark")) & F.col("__own").eqNullSafe(F.col("__dkey"))
+    return unpacked(marked.join(d, same, "left_anti"), df.columns)
