@@ -35,6 +35,8 @@ BLOCK, LIST_AT_ONCE = 256, 2_048
 MAP_WORDS = 16
 #: Bytes of text that one numpy pass takes.
 PASS_BYTES = 4_000_000
+#: Bytes of text for one range of hashes, which one task answers.
+BUCKET_BYTES = 16_000_000
 _NO_DOC = 65_535
 
 
@@ -358,7 +360,6 @@ def link(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     gives an empty one; other columns are not read.  Sets are compared by 64-bit hashes of their shingles.
     """
     spark = packages.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def written(df, label):
         folder = scratch(spark, label)
@@ -368,6 +369,9 @@ def link(packages: DataFrame, key: str = KEY, text: str = TEXT) -> DataFrame:
     base = keyed(packages, key, text).withColumn("__mark", F.xxhash64("__text")) \
         .withColumn("__uid", F.xxhash64(F.col("__key").cast("string"), "__text"))
     texts = base.select("__uid", "__text")
+    size = texts.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0
+    # a group is a hash range of some megabytes, however the session is set
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     sent = texts.mapInPandas(_send(buckets), "bucket int, hashes binary, at binary, uids binary, sizes binary, known binary")
     sizes = written(sent.groupBy("bucket").applyInPandas(_answer, "uid long, n long, shared long")
                     .groupBy("uid").agg(F.max("n").alias("n"), F.sum("shared").alias("shared")), "sizes")

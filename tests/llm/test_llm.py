@@ -288,3 +288,32 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
         df = stage(spark, df, str(tmp_path))
         assert df.columns == docs.columns
     assert json.dumps(sorted(r.doc_id for r in df.collect())) == "[0, 1, 2, 3, 4, 5]"
+
+
+def test_anchors_of_a_long_text_do_not_depend_on_its_stretches(monkeypatch):
+    text = np.random.default_rng(5).integers(97, 100, 40_000, dtype=np.uint8).tobytes()
+    _, places, _ = repeats.anchors([text])
+    monkeypatch.setattr(repeats, "PASS_BYTES", 1_000)
+    got = set()
+    for parts, owner, offset in repeats._passes([b"", text, text[:250]]):
+        doc, place, _ = repeats.anchors(parts)
+        got |= {int(p) for p, i in zip(place + offset[doc], owner[doc]) if i == 1}
+    assert got == set(places.tolist())
+
+
+def test_memory_of_anchors_does_not_follow_the_text():
+    import tracemalloc
+    text = np.random.default_rng(6).integers(97, 123, 20_000_000, dtype=np.uint8).tobytes().decode()
+    tracemalloc.start()
+    rows = list(repeats._send_seeds(8)([pd.DataFrame({"__uid": [1], "__text": [text]})]))
+    assert rows and tracemalloc.get_traced_memory()[1] < 150_000_000
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_encoding_does_not_depend_on_the_passes(monkeypatch, path):
+    texts = ["Cabin bag,  included.\n\n8 kg (free) " * 40, "", "été: ñandú's bag!" * 30, "tab\there  is one " * 30, "x" * 500]
+    whole = tokens.Encoder(path).encode(texts)
+    monkeypatch.setattr(tokens, "PASS_BYTES", 60)
+    assert tokens.Encoder(path).encode(texts) == whole
+    assert [np.frombuffer(x, "<u4").tolist() for x in whole] == [e.ids for e in tokens.Encoder(path).tokenizer.encode_batch(texts, add_special_tokens=False)]
