@@ -8,6 +8,7 @@ collected.  A first run compiles the generated code; the second, planning includ
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -30,6 +31,7 @@ def main():
              .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "16g")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))  # one machine: its own folder is the shared one
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from stairfare.catalog import all_queries

@@ -88,9 +88,9 @@ def rule_detail(key: Column, status: Column) -> Column:
 def baggage_short(text: Column) -> Column:
     """``2×23kg`` from any wording; a size in cm never counts as a weight."""
     t = F.coalesce(text, F.lit(""))
-    both = r"(?i)(\d+)\s*(?:parça|pieces?|pc)?\s*[x×]\s*(\d+)\s*kg"
-    weight = F.regexp_extract(t, r"(?i)(\d+)\s*kg", 1)
-    pieces = F.regexp_extract(t, r"(?i)(\d+)\s*(?:parça|pieces?|pc)\b", 1)
+    both = R.BAG_PIECES_BY_WEIGHT_PATTERN
+    weight = F.regexp_extract(t, R.BAG_WEIGHT_PATTERN, 1)
+    pieces = F.regexp_extract(t, R.BAG_PIECES_PATTERN, 1)
     return F.when(t.rlike(both), F.concat(F.regexp_extract(t, both, 1), F.lit("×"),
                                           F.regexp_extract(t, both, 2), F.lit("kg"))) \
         .when((weight != "") & (pieces != ""), F.concat(pieces, F.lit("×"), weight, F.lit("kg"))) \

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import names
+from ..rules import vocab
 
 EXPECTED_CABINS = 1
 
@@ -24,19 +25,17 @@ def with_completeness(units: DataFrame) -> DataFrame:
         "missing_rights": some & (c("n_with_rights") == 0),
         "missing_miles": some & (c("n_with_miles") == 0),
     }
-    texts = {
-        "missing_source": F.lit("no source recorded"),
-        "missing_cabin": F.concat(F.lit("cabins found="), c("n_cabins").cast("string"),
-                                  F.lit(f" < expected {EXPECTED_CABINS}")),
-        "missing_business": F.concat(F.lit("no Business cabin for non-LCC carrier "), F.upper("carrier")),
-        "missing_brands": F.lit("no branded fares extracted"),
-        "missing_price": F.lit("no prices on any brand"),
-        "missing_rights": F.lit("no right data on any brand"),
-        "missing_miles": F.lit("no miles data on any brand"),
+    figures = {
+        "missing_cabin": (c("n_cabins").cast("string"), F.lit(str(EXPECTED_CABINS))),
+        "missing_business": (F.upper("carrier"),),
     }
+
+    def text(flag, before, behind):
+        first, *last = figures.get(flag, (F.lit(""),))
+        return F.concat(F.lit(before), first, F.lit(behind), *last)
     df = units.withColumns(flags)
     return df.withColumn("issues", F.array_compact(F.array(
-        *[F.when(c(k), t) for k, t in texts.items()])))
+        *[F.when(c(flag), text(flag, before, behind)) for flag, before, behind in vocab.ISSUE_TEXTS])))
 
 
 def needs_retry() -> Column:
