@@ -54,3 +54,42 @@ sc AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5
 r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS nth, count(*) FILTER (n_features >= 20) OVER () AS fit FROM sc)
 SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND nth <= 10 * fit // 100 THEN nth END AS rank FROM r
 """
+
+SQL["op3_shingle_links"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT r, array_to_string(ws[s : s + 4], ' ') AS w FROM d, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS u(s) WHERE len(ws) > 0),
+n AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+sets AS (SELECT r, n, h, min(r) OVER (PARTITION BY h) AS rep FROM (SELECT r, any_value(n) AS n, sha256(string_agg(w, chr(10) ORDER BY w)) AS h FROM sh JOIN n USING (r) GROUP BY r)),
+few AS (SELECT sh.r, w, hash(w) AS hw FROM sh JOIN sets USING (r) WHERE r = rep),
+pair AS (SELECT a.r AS x, b.r AS y, count(*) AS o FROM few a JOIN few b ON a.hw = b.hw AND a.w = b.w AND a.r < b.r GROUP BY a.r, b.r),
+link AS (SELECT x, y FROM pair JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 100 * o >= 80 * (nx.n + ny.n - o)),
+sides AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT x, y FROM sides UNION SELECT reach.x, sides.y FROM reach JOIN sides ON reach.y = sides.x),
+lowest AS (SELECT rep, min(doc_id) AS own FROM sets JOIN d USING (r) GROUP BY rep),
+named AS (SELECT rep, least(any_value(own), min(other)) AS id FROM (SELECT l.rep, l.own, o.own AS other FROM lowest l LEFT JOIN reach ON reach.x = l.rep LEFT JOIN lowest o ON o.rep = reach.y) GROUP BY rep)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(id, doc_id) AS component_id FROM d LEFT JOIN sets USING (r) LEFT JOIN named USING (rep)
+"""
+
+SQL["op5_repeats"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+s AS (SELECT r, i, hash(array_slice(b, i, i + 199)) AS h FROM d, unnest(range(1, octet_length(b) - 198)) AS u(i) WHERE octet_length(b) >= 200),
+twice AS (SELECT h FROM s GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, TRUE) AS fresh FROM s SEMI JOIN twice USING (h)),
+runs AS (SELECT r, min(i) AS lo, max(i) + 199 AS hi FROM (SELECT r, i, count(*) FILTER (fresh) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM hit) GROUP BY r, run),
+gaps AS (SELECT r, lo, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) + 1 AS start, hi FROM runs),
+cut AS (SELECT r, count(*) AS n_spans, sum(hi - lo + 1)::BIGINT AS n_removed, max(hi) AS last, list({'a': start, 'b': lo - 1} ORDER BY lo) AS kept FROM gaps GROUP BY r)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(array_to_string(list_transform(kept, lambda k: substr(hex(b), 2 * k.a - 1, 2 * (k.b - k.a + 1))), '') || substr(hex(b), 2 * last + 1)) END) AS kept_sha256
+FROM d LEFT JOIN cut USING (r)
+"""
+
+SQL["op6_chat_format"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) v),
+e AS (SELECT *, length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:/?s>|/?INST\]|ROLE\])')) AS shown, length(role) + len(regexp_extract_all(role, '[<\[]\\*(?:/?s>|/?INST\]|ROLE\])')) AS named FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(CASE role WHEN 'user' THEN shown + 13 WHEN 'assistant' THEN shown + 4 ELSE shown + named + 13 END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
