@@ -5,6 +5,8 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int):
@@ -17,6 +19,24 @@ def slices(batch: pa.RecordBatch, column: str, size: int):
         lo = hi
 
 
+def sliced(run, column: str, size: int, schema: str):
+    """``run``, a function of pandas frames, for ``mapInArrow``: it gets a batch in portions of about ``size`` bytes of ``column``.
+
+    Only one portion of a batch is Python strings at a time.  ``schema`` is that of what ``run`` yields.
+    """
+    out = to_arrow_schema(StructType.fromDDL(schema))
+
+    def frames(batches):
+        for batch in batches:
+            for lo, hi in slices(batch, column, size):
+                yield batch.slice(lo, hi - lo).to_pandas()
+
+    def mapped(batches):
+        for pdf in run(frames(batches)):
+            yield pa.RecordBatch.from_pandas(pdf, schema=out, preserve_index=False)
+    return mapped
+
+
 def tiles(data: bytes, size: int, border: re.Pattern, ahead: re.Pattern):
     """``(own, ahead)``: stretches of ``data`` of about ``size`` bytes that end before a ``border``, which no word holds.
 

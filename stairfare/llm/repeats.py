@@ -20,18 +20,27 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.tables import scratch
 from .hashing import laid_out, mixed, running, stretches
+from .portions import sliced
 from .records import KEY, TEXT, keyed, restored
 
 LENGTH, SEED = 200, 100
 #: Offsets an anchor can have in a string.
 OFFSETS = LENGTH - SEED + 1
-PASS_BYTES = 4_000_000
+#: Bytes whose hashes are in memory at once; longer texts are cut in stretches that overlap by ``LENGTH`` - 1.
+PASS_BYTES = 512_000
+#: Anchors that a task gathers before it sends them, and bytes of text for one range of hashes.
+SENT_AT_ONCE, BUCKET_BYTES = 400_000, 8_000_000
+#: Bytes of text whose places are put together by one task.
+GROUP_BYTES = 32_000_000
 #: Suffixes whose strings are compared in one numpy pass.
-COMPARED_AT_ONCE = 8_000
+COMPARED_AT_ONCE = 3_000
+#: Suffixes that a task sorts into one run.
+RUN_SUFFIXES = 25_000
 #: Places of a seed beyond which its strings meet by their own hashes.
 LARGE = 4_000
 
@@ -64,14 +73,23 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _passes(texts: list[bytes]):
-    first, total = 0, 0
+    """``(stretches, their text numbers, their places)`` of about ``PASS_BYTES`` together.
+
+    Every string of ``LENGTH`` bytes lies in one stretch whole, so the anchors of a text are those of its stretches.
+    """
+    held, owners, places, total = [], [], [], 0
     for i, t in enumerate(texts):
-        if i > first and (total + len(t) > PASS_BYTES or i - first >= 8_000):
-            yield first, i
-            first, total = i, 0
-        total += len(t)
-    if first < len(texts):
-        yield first, len(texts)
+        for lo in range(0, max(len(t) - LENGTH + 1, 1), PASS_BYTES):
+            part = t[lo:lo + PASS_BYTES + LENGTH - 1]
+            if held and (total + len(part) > PASS_BYTES or len(held) >= 8_000):
+                yield held, np.array(owners), np.array(places)
+                held, owners, places, total = [], [], [], 0
+            held.append(part)
+            owners.append(i)
+            places.append(lo)
+            total += len(part)
+    if held:
+        yield held, np.array(owners), np.array(places)
 
 
 def _ranges(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -79,18 +97,29 @@ def _ranges(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _send_seeds(buckets):
+    """Rows of anchors by hash range; a task gathers many passes for one row a range."""
+    def packed(held):
+        h, uid, place = (np.concatenate(x) for x in zip(*held))
+        b = _ranges(h, buckets)
+        order = np.argsort(b, kind="stable")
+        h, uid, place, b = h[order], uid[order], place[order], b[order]
+        cuts = [0, *(np.flatnonzero(np.diff(b)) + 1).tolist(), len(b)]
+        return pd.DataFrame([(int(b[x]), h[x:y].tobytes(), uid[x:y].tobytes(), place[x:y].tobytes()) for x, y in zip(cuts[:-1], cuts[1:]) if y > x],
+                            columns=["bucket", "a", "uids", "places"])
+
     def run(batches):
+        held, size = [], 0
         for pdf in batches:
-            texts = [t.encode("utf-8", "surrogatepass") for t in pdf["__text"]]
             uid = pdf["__uid"].to_numpy()
-            for lo, hi in _passes(texts):
-                doc, place, h = anchors(texts[lo:hi])
-                b = _ranges(h, buckets)
-                order = np.argsort(b, kind="stable")
-                doc, place, h, b = doc[order], place[order], h[order], b[order]
-                cuts = np.searchsorted(b, np.arange(buckets + 1))
-                yield pd.DataFrame([(k, h[x:y].tobytes(), uid[lo + doc[x:y]].astype("<i8").tobytes(), place[x:y].astype("<i4").tobytes())
-                                    for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:])) if y > x], columns=["bucket", "a", "uids", "places"])
+            for parts, owner, offset in _passes([t.encode("utf-8", "surrogatepass") for t in pdf["__text"]]):
+                doc, place, h = anchors(parts)
+                held.append((h, uid[owner[doc]].astype("<i8"), (place + offset[doc]).astype("<i4")))
+                size += len(h)
+                if size > SENT_AT_ONCE:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
+            yield packed(held)
     return run
 
 
@@ -222,20 +251,25 @@ RUN = ("kind int, bucket int, lcp binary, tails binary, lengths binary, left_len
 RUN_COLUMNS = [c.split()[0] for c in RUN.split(", ")]
 
 
-def _send_runs(buckets):
-    """Front-coded runs of suffixes (to ``LENGTH`` bytes), each with what stands before it, by seed range."""
+def _send_runs(buckets, groups=None):
+    """Front-coded runs of suffixes (to ``LENGTH`` bytes), each with what stands before it, by seed range; their texts compressed."""
+    groups = groups or buckets
+
+    def pack(data):
+        return zstandard.compress(data, 1)
+
     def packed(bucket, entries):
         entries.sort(key=lambda e: e[0])
         lcp, tails, lengths = front_coded([s for s, _, _ in entries])
         lefts = [x for _, x, _ in entries]
         where = [w for _, _, ws in entries for w in ws]
-        return (SUFFIXES, bucket, lcp.tobytes(), tails, lengths.tobytes(), np.array([len(x) for x in lefts], "<u2").tobytes(), b"".join(lefts),
+        return (SUFFIXES, bucket, lcp.tobytes(), pack(tails), lengths.tobytes(), np.array([len(x) for x in lefts], "<u2").tobytes(), pack(b"".join(lefts)),
                 np.array([len(ws) for _, _, ws in entries], "<u4").tobytes(),
                 np.array([u for u, _ in where], "<i8").tobytes(), np.array([p for _, p in where], "<i4").tobytes(), None, None, None)
 
     def frame(held, large):
         rows = [packed(b, [(s, x, w) for (s, x), w in e.items()]) for b, e in held.items()]
-        return pd.DataFrame(rows + _by_string(buckets, large), columns=RUN_COLUMNS)
+        return pd.DataFrame(rows + _by_string(buckets, large, groups), columns=RUN_COLUMNS)
 
     def run(batches):
         held: dict[int, dict[tuple[bytes, bytes], list]] = {}
@@ -253,7 +287,7 @@ def _send_runs(buckets):
                         b = int.from_bytes(hashlib.blake2b(around[0][:SEED], digest_size=8).digest(), "little") % buckets
                         held.setdefault(b, {}).setdefault(around, []).append((uid, p))
                     size += 1
-                    if size > 60_000 or len(large) >= COMPARED_AT_ONCE:
+                    if size > RUN_SUFFIXES or len(large) >= COMPARED_AT_ONCE:
                         yield frame(held, large)
                         held, large, size = {}, {}, 0
         yield frame(held, large)
@@ -280,7 +314,7 @@ def _stretches_hit(hit: np.ndarray):
     return zip(row.tolist(), first.tolist(), last.tolist())
 
 
-def _by_string(buckets: int, large: dict[tuple[bytes, bytes], list]) -> list[tuple]:
+def _by_string(buckets: int, large: dict[tuple[bytes, bytes], list], groups: int) -> list[tuple]:
     """Rows for the strings around anchors of large seeds: those met twice here settled, each hash once by its range.
 
     A hash met twice here has no place, for it needs no answer.  The offset is part of the hash, since
@@ -300,7 +334,7 @@ def _by_string(buckets: int, large: dict[tuple[bytes, bytes], list]) -> list[tup
     spans = [(u, p - (b - 1), p - a + LENGTH) for k, a, b in _stretches_hit(hit) for u, p in where[k]]
     uid, start, end = np.array(spans, np.int64).reshape(-1, 3).T
     none = (None,) * 6
-    out = [(SETTLED, b, *none, u, None, None, s, e) for b, u, s, e in _by_text(uid, buckets, start, end)]
+    out = [(SETTLED, b, *none, u, None, None, s, e) for b, u, s, e in _by_text(uid, groups, start, end)]
     first = np.array([w[0] for w in where], np.int64)
     owner = np.where(twice, 0, first[row[one], 0]).astype("<i8")
     place = np.where(twice, -1, first[row[one], 1] - offset[one]).astype("<i4")
@@ -341,12 +375,13 @@ def _covered(groups):
         if kind != SUFFIXES:
             rows = _met_twice(pdf, groups) if kind == HASHES else list(zip(*[pdf[c] for c in ("bucket", "uids", "starts", "ends")]))
             return pd.DataFrame(rows, columns=["bucket", "uids", "starts", "ends"])
-        runs = [tuple(np.frombuffer(x, "<u2") if k != 1 else x for k, x in enumerate(r)) for r in zip(pdf["lcp"], pdf["tails"], pdf["lengths"])]
+        plain = zstandard.ZstdDecompressor().decompress
+        runs = [tuple(np.frombuffer(x, "<u2") if k != 1 else plain(x) for k, x in enumerate(r)) for r in zip(pdf["lcp"], pdf["tails"], pdf["lengths"])]
         side = []
         for lengths, lefts, many, uids, places in zip(pdf["left_lengths"], pdf["lefts"], pdf["many"], pdf["uids"], pdf["places"]):
             ends = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, "<u2").astype(np.int64))]).tolist()
             count = np.frombuffer(many, "<u4").astype(np.int64)
-            side.append((lefts, ends, count, np.concatenate([[0], np.cumsum(count)]), np.frombuffer(uids, "<i8"), np.frombuffer(places, "<i4")))
+            side.append((plain(lefts), ends, count, np.concatenate([[0], np.cumsum(count)]), np.frombuffer(uids, "<i8"), np.frombuffer(places, "<i4")))
         seen = [0] * len(runs)
         out_uid, out_start, out_end = [], [], []
         held: list = []
@@ -422,7 +457,6 @@ def remove_repeats(packages: DataFrame, key: str = KEY, text: str = TEXT) -> Dat
     not read.  Strings are compared by 64-bit hashes among those that agree on ``SEED`` bytes.
     """
     spark = packages.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def written(df, label):
         folder = scratch(spark, label)
@@ -431,14 +465,21 @@ def remove_repeats(packages: DataFrame, key: str = KEY, text: str = TEXT) -> Dat
 
     base = keyed(packages, key, text, for_python=True).withColumn("__uid", F.xxhash64("__key", "__text"))
     texts = base.select("__uid", "__text").where(F.octet_length("__text") >= LENGTH)
-    places = texts.mapInPandas(_send_seeds(buckets), "bucket int, a binary, uids binary, places binary") \
-        .groupBy("bucket").applyInPandas(_seen_twice(buckets), "bucket int, uids binary, places binary") \
+    size = texts.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0
+    # a group is a hash range, or some texts, of some megabytes, however the session is set
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, groups = max(least, -(-size // BUCKET_BYTES)), max(least, -(-size // GROUP_BYTES))
+    def mapped(df, run, schema):
+        return df.mapInArrow(sliced(run, "__text", 4 * PASS_BYTES, schema), schema)
+
+    places = mapped(texts, _send_seeds(buckets), "bucket int, a binary, uids binary, places binary") \
+        .groupBy("bucket").applyInPandas(_seen_twice(groups), "bucket int, uids binary, places binary") \
         .groupBy("bucket").applyInPandas(_places, "uid long, places binary")
     places = written(places, "anchors")
-    runs = texts.join(places, F.col("__uid") == F.col("uid")).select("__uid", "__text", "places").mapInPandas(_send_runs(buckets), RUN)
-    spans = runs.groupBy("kind", "bucket").applyInPandas(_covered(buckets), "bucket int, uids binary, starts binary, ends binary") \
+    runs = mapped(texts.join(places, F.col("__uid") == F.col("uid")).select("__uid", "__text", "places"), _send_runs(buckets, groups), RUN)
+    spans = runs.groupBy("kind", "bucket").applyInPandas(_covered(groups), "bucket int, uids binary, starts binary, ends binary") \
         .groupBy("bucket").applyInPandas(_spans, "uid long, starts binary, ends binary")
     spans = written(spans, "repeats")
-    out = base.join(spans, F.col("__uid") == F.col("uid"), "left").select("__key", "__text", "starts", "ends") \
-        .mapInPandas(_cut, "__key string, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>")
+    out = mapped(base.join(spans, F.col("__uid") == F.col("uid"), "left").select("__key", "__text", "starts", "ends"), _cut,
+                 "__key string, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,end:long>>")
     return restored(out.withColumnRenamed("__key", key), key, packages)
