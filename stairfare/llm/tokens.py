@@ -2,8 +2,8 @@
 
 Neither of the two pre-tokenizers lets a token cross the place between a visible character and the
 blank or line break after it, so a text may be cut there, the pieces encoded apart, and the ids joined.
-Nor does a token reach from a letter or digit into the ASCII punctuation behind it, so a word is cut from that as well
-(of Latin letters, and where white space has no ids of ASCII ones, the apostrophe left out): fewer pieces differ.
+Nor does a token reach from a letter or digit into the ASCII punctuation behind it, so a word is cut from that as well,
+behind Latin letters, and capitals are lowered first if the tokenizer lowers them: fewer pieces differ.
 The words of a pass are cut, told apart and put together again as stretches of one byte array; only distinct ones
 reach Python.  Words repeat, so their ids are kept in a table of bounded size; when it is full it starts anew.
 The tokenizer itself is read once a process.
@@ -52,6 +52,9 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         # a tokenizer that drops white space has no use for it; one that keeps it needs it in the pieces
         self.drops_space = not self.tokenizer.encode(" ", add_special_tokens=False).ids
+        # to a tokenizer that lower-cases, a word and its capitalised form are one
+        letters = bytes(range(65, 91)).decode()
+        self.lowers = self.tokenizer.encode(letters, add_special_tokens=False).ids == self.tokenizer.encode(letters.lower(), add_special_tokens=False).ids
         self.words: dict[bytes, bytes] = {}
 
     def _encoded(self, words: list[bytes]) -> list[bytes]:
@@ -64,13 +67,8 @@ class Encoder:
     def _cut(self, data: np.ndarray, starts: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(first byte, size)`` of the words of all parts; ``whole`` parts are one word each."""
         blank, after = _BLANK[data], np.concatenate([[False], _BLANK[data[:-1]]])
-        if self.drops_space:
-            ends_letter, punct = _ALNUM[data], _PUNCT[data] & (data != 39)
-            new = blank != after
-        else:
-            ends_letter, punct = _ends_letter(data), _PUNCT[data]
-            new = blank & ~after
-        new |= punct & np.concatenate([[False], ends_letter[:-1]])
+        new = blank != after if self.drops_space else blank & ~after
+        new |= _PUNCT[data] & np.concatenate([[False], _ends_letter(data)[:-1]])
         for i in np.flatnonzero(whole):
             new[starts[i]:starts[i + 1]] = False
         new[starts[:-1][starts[:-1] < len(data)]] = True
@@ -84,6 +82,7 @@ class Encoder:
     def _pass(self, parts: list[bytes], whole: np.ndarray) -> list[np.ndarray]:
         """Ids of each part, none of them empty."""
         joined = b"".join(parts)
+        joined = joined.lower() if self.lowers else joined  # of bytes, so A-Z only
         data = np.frombuffer(joined, np.uint8)
         starts = np.cumsum([0, *map(len, parts)])
         first, size = self._cut(data, starts, whole)
