@@ -256,7 +256,7 @@ def _send_runs(buckets, groups=None):
     groups = groups or buckets
 
     def pack(data):
-        return zstandard.compress(data, 1)
+        return zstandard.compress(data, 6)
 
     def packed(bucket, entries):
         entries.sort(key=lambda e: e[0])
